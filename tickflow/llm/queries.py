@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickflow.llm import lines, packing, quality, rules, shards, simhash, substrings, urls, warc
+from tickflow.llm import lines, packing, quality, rules, shards, simhash, substrings, templates, urls, warc
 
 QUERIES = {
     "op1_url_filter": urls.op1_url_filter,
@@ -10,12 +10,13 @@ QUERIES = {
     "op3_quality": quality.op3_quality,
     "op4_quality_rules": rules.op4_quality_rules,
     "op5_sharding": shards.op5_sharding,
+    "op6_decontamination": templates.op6_decontamination,
     "op7_packing": packing.op7_packing,
     "op8_substrings": substrings.op8_substrings,
     "op9_lines": lines.op9_lines,
     "op10_warc": warc.op10_warc,
 }
-#: Not here: op2 and op9 (XXH64 is not in SQL; tested by brute force), op3 (a fitted model; its held-out accuracy is tested), op7 (token ids; tested as an exact round trip).
+#: Not here: op2, op6 and op9 (XXH64 or a canonical form that is not in SQL; tested by brute force), op3 (a fitted model; its held-out accuracy is tested), op7 (token ids; tested as an exact round trip).
 SQL = {
     "op1_url_filter": urls.OP1_SQL,
     "op4_quality_rules": rules.OP4_SQL,
