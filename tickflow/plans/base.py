@@ -31,8 +31,11 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.select(*[(F.round(F.col(f"`{c}`"), 6) + F.lit(0.0)).alias(c) if kind == "double" else F.col(f"`{c}`") for c, kind in df.dtypes])
 
 
-#: The features by self-join and lists, not by the window formulas of the DataFrame side.
-FEATURES_SQL = f"""{TICKS_SQL}, near AS (
+
+
+def features_sql(ticks_sql: str = TICKS_SQL, gap_us: int = GAP_US) -> str:
+    """The features by self-join and lists, not by the window formulas of the DataFrame side: CTEs of which the last is f."""
+    return f"""{ticks_sql}, near AS (
   SELECT a.symbol, a.t, any_value(a.price) AS price, any_value(a.volume) AS volume, min(b.t) AS oldest,
          list(b.price ORDER BY b.t) FILTER (b.t > a.t - {MINUTE_US}) AS p1, list(b.price ORDER BY b.t) FILTER (b.t > a.t - {5 * MINUTE_US}) AS p5, list(b.price ORDER BY b.t) FILTER (b.t > a.t - {15 * MINUTE_US}) AS p15,
          list(b.price ORDER BY b.t) FILTER (b.t > a.t - {HOUR_US}) AS p60, list(b.price ORDER BY b.t) FILTER (b.t > a.t - {DAY_US}) AS p24,
@@ -66,6 +69,9 @@ FEATURES_SQL = f"""{TICKS_SQL}, near AS (
          sin(2 * pi() * (t // 1000000 % 86400) / 86400) AS hour_sin, cos(2 * pi() * (t // 1000000 % 86400) / 86400) AS hour_cos,
          sin(2 * pi() * (isodow(make_timestamp(t)) - 1) / 7) AS dow_sin, cos(2 * pi() * (isodow(make_timestamp(t)) - 1) / 7) AS dow_cos,
          NOT (oldest <= t - {DAY_US} AND len(vs) >= 2) AS insufficient_history,
-         coalesce(list_bool_or(list_transform(range(1, len(t24)), lambda i: t24[i + 1] - t24[i] > {GAP_US})), false) AS has_gap
+         coalesce(list_bool_or(list_transform(range(1, len(t24)), lambda i: t24[i + 1] - t24[i] > {gap_us})), false) AS has_gap
   FROM s
 )"""
+
+
+FEATURES_SQL = features_sql()
