@@ -9,8 +9,9 @@ from tickflow.llm.common import drop_table, materialize
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
-    """Each (u, v) with the least neighbour of u. The minimum is combined before the shuffle; AQE splits a hot u in the join."""
-    return edges.join(edges.groupBy("u").agg(F.min("v").alias("m")), "u")
+    """Each (u, v) with the least neighbour of u. The minimum is combined before the shuffle and written, so that both sides of the join
+    are shuffled by it alone, and AQE can split a hot u."""
+    return edges.join(materialize(edges.groupBy("u").agg(F.min("v").alias("m"))), "u")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
