@@ -14,16 +14,16 @@ from pyspark.sql import functions as F
 ARROW_ROWS = 500
 
 
+_own: dict[str, str] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
     """A new folder below the one that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        base = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _own.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="spark-"))
     return f"{base}/tickflow-{uuid.uuid4().hex}"
 
 
