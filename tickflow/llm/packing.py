@@ -9,6 +9,8 @@ blocks. Spark sorts the blocks by round in buckets, and prefix sums over the buc
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from collections.abc import Mapping
 
@@ -22,17 +24,43 @@ from tickflow.llm.common import batch, column, map_batches, materialize, read
 
 LENGTH, BLOCK, END_ID = 2048, 256, 1
 VOCABULARY = "byte_bpe_50k.json"
-#: Chunks between spaces whose ids a worker remembers; the memo is emptied when full.
-_MEMO = 600_000
+#: Runs of letters, digits or punctuation whose ids a worker remembers, in each of two generations.
+_MEMO = 500_000
 #: Documents, and rounds, that one task orders, about.
 BUCKET_ROWS, BUCKET_ROUNDS, MOST_BUCKETS = 5_000, 512, 1 << 17
 
 
+class Memo:
+    """What was computed for strings, the most recent ones: the newer of two generations fills, then the older is dropped."""
+
+    def __init__(self, most: int):
+        self.most, self.new, self.old = most, {}, {}
+
+    def missing(self, keys: set[str]) -> set[str]:
+        """The keys that nothing is known of; what is known is in `new` afterwards."""
+        if len(self.new) > self.most:
+            self.old, self.new = self.new, {}
+        rest = keys.difference(self.new)
+        again = rest.intersection(self.old)
+        self.new.update((k, self.old[k]) for k in again)
+        return rest - again
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves, the others from U+0100 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
+
+
 class Encoder:
-    """Token ids of whole texts, each as little-endian numbers of `width` bytes.
+    """Token ids of whole texts, each as little-endian numbers of two or four bytes.
 
-    A byte-level vocabulary of this kind never joins what stands before a lone space, or on either side of a lone line feed, with what
-    follows. So texts whose white space is lone spaces and line feeds are encoded chunk by chunk, and each chunk once; others whole."""
+    The vocabulary's own first step cuts a text into runs of letters, digits or punctuation, each with a lone space before it, and line
+    feeds. In texts of Latin letters without apostrophes, whose white space is lone spaces and line feeds, these cuts are the matches of
+    one pattern; the vocabulary's model then encodes each new run once. Other texts are encoded whole."""
+
+    _RUNS = re.compile("(?: ?(?:[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+|[0-9]+|[!-&(-/:-@\\[-`{-~]+))|\\n")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -40,36 +68,37 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.memo: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    @staticmethod
-    def chunks(text: str) -> list[str] | None:
-        out, parts = [], 0
-        for k, line in enumerate(text.split("\n")):
-            if k:
-                out.append("\n")
-            words = line.split(" ")
-            if "" in words:
-                return None
-            parts += len(words)
-            out.append(words[0])
-            out += [" " + w for w in words[1:]]
-        return out if parts == len(text.split()) else None
+        self.kind, self.letter = ("<u2", "H") if self.tokenizer.get_vocab_size() <= 1 << 16 else ("<u4", "I")
+        self.letters = dict(enumerate(_byte_letters()))
+        self.runs = Memo(_MEMO)
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.letter}", *ids)
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [self._packed(x.ids) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _run(self, run: str, tokenize) -> bytes:
+        return self._packed([t.id for t in tokenize(run.encode().decode("latin-1").translate(self.letters))])
+
+    @classmethod
+    def cut(cls, text: str) -> list[str] | None:
+        """The runs of a text, or None for a text that has to be encoded whole."""
+        if text.count(" ") + text.count("\n") + 1 != len(text.split()):
+            return None
+        runs = cls._RUNS.findall(text)
+        return runs if sum(map(len, runs)) == len(text) else None
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.memo) > _MEMO:
-            self.memo.clear()
-        memo, cut = self.memo, [self.chunks(t) for t in texts]
-        whole = [t for t, c in zip(texts, cut, strict=True) if c is None]
-        new = list({x for c in cut if c for x in c if x not in memo})
-        for at in range(0, len(new), 4096):
-            memo.update(zip(new[at : at + 4096], self._encode(new[at : at + 4096]), strict=True))
-        rest = iter(self._encode(whole))
-        return [next(rest) if c is None else b"".join([memo[x] for x in c]) for c in cut]
+        cut = [self.cut(t) for t in texts]
+        seen: set[str] = set()
+        for c in cut:
+            if c is not None:
+                seen.update(c)
+        tokenize = self.tokenizer.model.tokenize
+        self.runs.new.update([(r, self._run(r, tokenize)) for r in self.runs.missing(seen)])
+        known, rest = self.runs.new.__getitem__, iter(self._whole([t for t, c in zip(texts, cut, strict=True) if c is None]))
+        return [next(rest) if c is None else b"".join(map(known, c)) for c in cut]
 
 
 def vocabulary_path() -> str:
