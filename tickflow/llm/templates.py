@@ -61,6 +61,12 @@ class Canonical:
 
     def _new(self, word: str) -> int:
         k = self.place[word] = len(self.place)
+        bare = word if word.isalpha() else word[:-1]
+        if bare.isalpha() and bare.islower() and (bare is word or word[-1] in ".,;:!?"):  # what most words are: the same at both places
+            self.kinds[:, k] = kind = _UNIT if bare in UNITS else _LITERAL
+            self.hashes[:, k] = xxhash.xxh64_intdigest(_PLACE[kind] or bare, 3)
+            self.empty[k], self.stops[k] = False, bare is not word and word[-1] in ".:!?"
+            return k
         for starts in (0, 1):
             kind, bare = classify(word, bool(starts))
             self.kinds[starts, k] = kind
