@@ -412,6 +412,31 @@ def test_lines_hard(docs, none):
     assert lines.line_groups(none).count() == 0 and lines.drop_fuzzy_lines(none).count() == 0
 
 
+def edited(rng, words, share, letters):
+    """A line and a copy of an edit similarity of 0.8 or more: that share of words, or of letters, is exchanged."""
+    a = list(" ".join(words)) if letters else list(words)
+    b = list(a)
+    for at in rng.choice(len(a), max(1, int(share * len(a))), replace=False):
+        b[at] = "qxzjk"[rng.integers(5)] if letters else words[at][::-1]
+    return ("" if letters else " ").join(a), ("" if letters else " ").join(b)
+
+
+@pytest.mark.parametrize(("share", "letters", "least"), [(0, False, 0.97), (0.15, False, 0.9), (0.05, True, 0.9)])
+def test_similar_lines_are_found(spark, share, letters, least):
+    """Against edit similarity alone: what was exchanged is known to leave 0.8 or more."""
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(rng.choice(list("abcdefghilmnoprstu"), 5))
+    vocabulary = [word() for _ in range(800)]
+    texts = []
+    for n in (10, 20, 30, 50):
+        for _ in range(100):
+            texts += edited(rng, rng.choice(vocabulary, n).tolist(), share, letters)
+    rows = lines.line_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), runs=True).collect()
+    found = {r.doc_id for r in rows if r.doc_id % 2 and r.group_doc_id == r.doc_id - 1}
+    shares = [len([d for d in found if d // 200 == k]) / 100 for k in range(4)]
+    assert all(r.group_doc_id // 2 == r.doc_id // 2 for r in rows) and min(shares) >= least, shares
+
+
 # 10 ------------------------------------------------------------------------------------------------------------------------------------
 
 
