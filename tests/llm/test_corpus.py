@@ -437,6 +437,12 @@ def test_similar_lines_are_found(spark, share, letters, least):
     assert all(r.group_doc_id // 2 == r.doc_id // 2 for r in rows) and min(shares) >= least, shares
 
 
+def test_lines_that_differ_in_digits(spark):
+    texts = ["12 34 56 78 90", "98 76 54 32 11", "Item 1234567 of 7654321 sold for 8888888", "Item 9876543 of 1234567 sold for 1111111", "The shop on the corner sold 12 apples", "The shop on the corner sold 35 apples"]
+    rows = lines.line_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.group_doc_id for r in rows} == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 4}
+
+
 # 10 ------------------------------------------------------------------------------------------------------------------------------------
 
 
