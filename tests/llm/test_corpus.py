@@ -443,6 +443,13 @@ def test_lines_that_differ_in_digits(spark):
     assert {r.doc_id: r.group_doc_id for r in rows} == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 4}
 
 
+def test_short_lines(spark, tmp_path):
+    texts = ["Chapter one\n---\n", "chapter one!\n東京都千代田区丸の内一丁目九番一号の駅", "東京都千代田区丸の内一丁目九番二号の駅\nOther", "Headquarters Administration", "Headquarters Administratlon", "7", "8", "7"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = queries.QUERIES["op9_lines"](spark, str(tmp_path)).collect()
+    assert {(r.doc_id, r.line_no): (r.group_doc_id, r.group_line_no) for r in rows} == {(0, 0): (0, 0), (1, 0): (0, 0), (1, 1): (1, 1), (2, 0): (1, 1), (2, 1): (2, 1), (3, 0): (3, 0), (4, 0): (3, 0), (5, 0): (5, 0), (6, 0): (6, 0), (7, 0): (5, 0)}
+
+
 # 10 ------------------------------------------------------------------------------------------------------------------------------------
 
 
