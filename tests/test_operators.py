@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tickflow.functions.registry import FEATURE_NAMES
 from tickflow.functions.scalars import DAY_US, MINUTE_US, label_of, psi_severity
 from tickflow.operators import alerts, attribution, baselines, dataset, drift, metrics, quality
 from tickflow.operators.asof import backward_last, forward_join, forward_self
@@ -244,6 +245,15 @@ def test_freshness_and_gate(spark):
     assert not quality.gate(audit.where("check_name <> 'freshness'"), now - 1).first()["open"]
 
 
+def test_validity_over_long_pauses(spark):
+    symbols = spark.createDataFrame([("a",), ("b",)], "symbol string")
+    raw = [("a", 5, 0), ("a", 4, 30 * DAY_US), ("a", 6, 31 * DAY_US + 1), ("a", 3, 34 * DAY_US), ("a", 2, 34 * DAY_US + 1), ("b", 1, 0), ("b", 2, 9 * DAY_US)]
+    raw = spark.createDataFrame([(s, t, 1.0, a) for s, t, a in raw], "symbol string, t long, price double, arrival long")
+    features = symbols.select("symbol", F.lit(True).alias("insufficient_history"), *[F.lit(None).cast("double").alias(c) for c in FEATURE_NAMES])
+    rows = {r.symbol: (r.passed, r.non_monotonic) for r in quality.validity(symbols, raw, features).collect()}
+    assert rows == {"a": (False, 3), "b": (True, 0)}
+
+
 def test_resolution_boundary(spark):
     now, h = 10 * DAY_US, 15 * MINUTE_US
     p = spark.createDataFrame([("X", now - h, "1"), ("X", now - h + 1, "1")], "symbol string, t long, model_version string")

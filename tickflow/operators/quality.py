@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tickflow.functions.registry import FEATURE_NAMES, finite, unpivoted
 from tickflow.functions.scalars import DAY_US
-from tickflow.operators.halo import by_chunk, chunked
+from tickflow.operators.halo import by_chunk
 
 CHECKS = ("freshness", "completeness", "validity", "distribution")
 
@@ -27,12 +28,16 @@ def completeness(symbols: DataFrame, ticks: DataFrame, now_us: int, window_us: i
     return rows.select("symbol", (ratio >= least).alias("passed"), "actual", "expected", ratio.alias("ratio"))
 
 
-def validity(symbols: DataFrame, raw: DataFrame, features: DataFrame, *, order: str = "arrival", look_back_us: int = DAY_US) -> DataFrame:
+def validity(symbols: DataFrame, raw: DataFrame, features: DataFrame, *, order: str = "arrival", chunk_us: int = DAY_US) -> DataFrame:
     """(symbol, passed, non_positive, non_monotonic, null_features, issues): prices not above 0, ticks that arrive after a later one of
-    their symbol, and rows of sufficient history that hold a null. raw has `order`, the order of arrival, in the unit of time."""
-    rows = chunked(raw, look_back_us, time=order, size_us=max(look_back_us, DAY_US))
+    their symbol, and rows of sufficient history that hold a null. raw has `order`, the order of arrival, in the unit of time. However long
+    a symbol pauses, a tick is compared with the one before: the last of each chunk is carried into the next that has any."""
+    rows = raw.withColumn("chunk", F.floor(F.col(order) / chunk_us))
+    ends = rows.groupBy("symbol", "chunk").agg(F.max_by("t", order).alias("_end"))
+    ends = ends.select("symbol", "chunk", F.lag("_end").over(Window.partitionBy("symbol").orderBy("chunk")).alias("_before"))
     back = by_chunk("symbol", time=order)
-    seen = rows.select("*", F.lag("t").over(back).alias("_last")).where("own").groupBy("symbol").agg(F.count_if(F.col("price") <= 0).alias("non_positive"), F.count_if(F.col("t") < F.col("_last")).alias("non_monotonic"))
+    rows = rows.select("*", F.lag("t").over(back).alias("_in"), F.lag(F.lit(True)).over(back).alias("_has")).join(ends, ["symbol", "chunk"], "left")
+    seen = rows.withColumn("_last", F.when(F.col("_has"), F.col("_in")).otherwise(F.col("_before"))).groupBy("symbol").agg(F.count_if(F.col("price") <= 0).alias("non_positive"), F.count_if(F.col("t") < F.col("_last")).alias("non_monotonic"))
     nulls = features.where("not insufficient_history").groupBy("symbol").agg(F.count_if(F.exists(F.array(*FEATURE_NAMES), lambda v: v.isNull())).alias("null_features"))
     rows = symbols.join(seen, "symbol", "left").join(nulls, "symbol", "left").na.fill(0, ["non_positive", "non_monotonic", "null_features"])
     told = [F.when(F.col(c) > 0, F.concat(F.lit(f"{c}:"), F.col(c).cast("string"))) for c in ("non_positive", "non_monotonic", "null_features")]
