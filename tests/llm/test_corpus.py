@@ -223,6 +223,15 @@ def test_planted_items(spark):
     assert want and got == want
 
 
+def test_names_anywhere(spark):
+    item = "{0} has 5 apples. {1} has 7 apples. {0} gives {1} 2 apples. How many apples has {0} now?"
+    pairs = [("Tom", "Ann"), ("Eve", "Bob"), ("McDonald", "O'Brien"), ("NASA", "Li")]
+    docs = spark.createDataFrame([(k, "Read this. " + item.format(*p)) for k, p in enumerate(pairs)] + [(9, item.format("Eve", "Bob").replace("has Eve now", "has Bob now"))], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item.format("Tom", "Ann"))], "item_id long, text string")
+    got = {r.doc_id: (r.coverage, r.exact) for r in templates.contaminated(docs, bench).collect()}
+    assert got == {0: (1.0, True), 1: (1.0, False), 2: (1.0, False), 3: (1.0, False)}
+
+
 # 7 -------------------------------------------------------------------------------------------------------------------------------------
 
 

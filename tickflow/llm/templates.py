@@ -38,14 +38,15 @@ _MEMO = 1 << 20
 
 
 def classify(word: str, starts: bool) -> tuple[int, str]:
-    """The kind and the bare lower-case form of a word; starts: it begins a sentence, where a capital says nothing."""
+    """The kind and the bare lower-case form of a word; starts: it begins a sentence, where a capital makes no unit of it. Any word of two
+    letters or more with a capital is a name, wherever it stands: 'The' is then a value that has to be exchanged like any other."""
     bare = _EDGE.sub("", word)
     low = bare.lower()
     if _NUMBER.match(low):
         return _NUM, low
     if low in UNITS and not (starts and bare != low):
         return _UNIT, low
-    if not starts and len(bare) > 1 and bare[0].isupper() and bare[1:].islower():
+    if len(bare) > 1 and bare != low:
         return _NAME, low
     return _LITERAL, low
 
