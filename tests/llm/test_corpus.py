@@ -232,6 +232,15 @@ def test_names_anywhere(spark):
     assert got == {0: (1.0, True), 1: (1.0, False), 2: (1.0, False), 3: (1.0, False)}
 
 
+def test_copied_items(spark):
+    short = "which of these seven rivers flows into the black sea after passing four old capital cities"
+    items = {1: "There are 12 boxes on the left shelf of the old store and a clerk then puts exactly 12 more boxes beside them", 2: "12 + 7 = 19 and 3 x 5 = 15 but 81 / 9 = 9", 3: short}
+    texts = {1: items[1].replace("12 more", "13 more"), 2: "So: " + items[2], 3: short.replace("flows", "runs"), 4: "14 + 7 = 21 and 3 x 6 = 18 but 72 / 9 = 8", 5: "which of these seven rivers is long"}
+    frames = [spark.createDataFrame(list(x.items()), f"{k} long, text string") for k, x in (("doc_id", texts), ("item_id", items))]
+    got = {(r.doc_id, r.item_id): r.exact for r in templates.contaminated(*frames).collect()}
+    assert got == {(1, 1): False, (2, 2): True, (3, 3): True}
+
+
 # 7 -------------------------------------------------------------------------------------------------------------------------------------
 
 

@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 from tickflow.llm.common import batch, column, map_batches, materialize, read
 
 WINDOW, COVERAGE = 8, 0.5
-#: A window counts if at least this share of its tokens is no placeholder.
+#: A window of which a smaller share is no placeholder is looked for with its values instead of placeholders.
 LITERAL = 0.5
+#: The shortest window of items that have WINDOW words or more.
+LEAST = 5
 #: Up to so many item windows (8 bytes each) go to the executors, to leave out other windows before the join.
 MAX_SENT = 1 << 22
 #: Units of measure, money and time (fixed values).
@@ -57,6 +59,7 @@ class Canonical:
     def __init__(self):
         self.place: dict[str, int] = {}
         self.hashes = np.zeros((2, _MEMO), np.uint64)
+        self.plain = np.zeros(_MEMO, np.uint64)
         self.kinds = np.zeros((2, _MEMO), np.int8)
         self.empty, self.stops = np.zeros(_MEMO, bool), np.zeros(_MEMO, bool)
 
@@ -66,17 +69,19 @@ class Canonical:
         if bare.isalpha() and bare.islower() and (bare is word or word[-1] in ".,;:!?"):  # what most words are: the same at both places
             self.kinds[:, k] = kind = _UNIT if bare in UNITS else _LITERAL
             self.hashes[:, k] = xxhash.xxh64_intdigest(_PLACE[kind] or bare, 3)
+            self.plain[k] = self.hashes[0, k] if kind == _LITERAL else xxhash.xxh64_intdigest(bare, 3)
             self.empty[k], self.stops[k] = False, bare is not word and word[-1] in ".:!?"
             return k
         for starts in (0, 1):
             kind, bare = classify(word, bool(starts))
             self.kinds[starts, k] = kind
             self.hashes[starts, k] = xxhash.xxh64_intdigest(_PLACE[kind] or bare, 3)
+        self.plain[k] = xxhash.xxh64_intdigest(bare, 3)
         self.empty[k], self.stops[k] = not bare, bool(_STOP.search(word))
         return k
 
-    def __call__(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """The words of a text that have letters or digits, their tokens' hashes and their kinds."""
+    def __call__(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """The words of a text that have letters or digits, their tokens' hashes, their kinds and the words' own hashes."""
         if any(c in text for c in "0123456789"):
             text = _GLUED.sub(" ", text)
         words, begins = [], []
@@ -88,10 +93,10 @@ class Canonical:
             if len(words) > _MEMO // 2:  # one very long text: what it has is found anew
                 self.__init__()
                 parts = [self._part(words[a : a + _MEMO // 2], a, begins) for a in range(0, len(words), _MEMO // 2)]
-                return [w for p in parts for w in p[0]], np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
+                return [w for p in parts for w in p[0]], np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts])
         return self._part(words, 0, begins)
 
-    def _part(self, words: list[str], at: int, begins: list[int]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    def _part(self, words: list[str], at: int, begins: list[int]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
         if len(self.place) + len(words) > _MEMO:
             self.place.clear()
         get, new = self.place.get, self._new
@@ -102,30 +107,44 @@ class Canonical:
         starts[b[(b >= 0) & (b < len(words))]] = 1
         starts, keep = starts[:-1], ~self.empty[k]
         if keep.all():
-            return words, self.hashes[starts, k], self.kinds[starts, k]
-        return [w for w, x in zip(words, keep.tolist(), strict=True) if x], self.hashes[starts, k][keep], self.kinds[starts, k][keep]
+            return words, self.hashes[starts, k], self.kinds[starts, k], self.plain[k]
+        return [w for w, x in zip(words, keep.tolist(), strict=True) if x], self.hashes[starts, k][keep], self.kinds[starts, k][keep], self.plain[k][keep]
 
 
-def window_hashes(tokens: np.ndarray, kinds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of each window of `size` tokens, and whether enough of it is literal."""
-    n = len(tokens) - size + 1
-    if n < 1:
-        return np.zeros(0, np.uint64), np.zeros(0, bool)
+def _mixed(tokens: np.ndarray, at: np.ndarray | slice, n: int, size: int, seed: int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        h = np.full(n, np.uint64(size) * np.uint64(0x9E3779B97F4A7C15))
+        h = np.uint64(size) * np.uint64(seed)
         for j in range(size):
-            h = (h ^ tokens[j : j + n]) * np.uint64(0xD6E8FEB86659FD93)
+            h = (h ^ tokens[j : j + n][at]) * np.uint64(0xD6E8FEB86659FD93)
             h ^= h >> np.uint64(32)
+    return h
+
+
+def window_hashes(tokens: np.ndarray, kinds: np.ndarray, plain: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each window of `size` tokens, and whether enough of it is literal. Other windows' hashes are of the words as they are."""
+    n = len(tokens) - size + 1
+    if n < 1:
+        return np.zeros(0, np.uint64), np.zeros(0, bool)
+    h = _mixed(tokens, slice(None), n, size, 0x9E3779B97F4A7C15 >> 8)
     held = np.concatenate(([0], np.cumsum(kinds == _LITERAL)))
-    return h, held[size:] - held[:-size] >= LITERAL * size
+    rich = held[size:] - held[:-size] >= LITERAL * size
+    if not rich.all():
+        at = np.flatnonzero(~rich)
+        h[at] = _mixed(plain, at, n, size, 0xC2B2AE3D27D4EB4F >> 8)
+    return h, rich
+
+
+def window_of(n: int, window: int) -> int:
+    """The window of an item of n words: about a third of a short item's, so that a changed word leaves half of the windows."""
+    return min(window, n) if n <= window else max(min(window, (n + 1) // 3), min(window, LEAST))
 
 
 _canonical: list[Canonical] = []
 
 
 def _windows(df: DataFrame, key: str, sizes: list[int] | None, window: int, only: np.ndarray | None) -> DataFrame:
-    """(key, size, pos, of, h, slots) of the windows of each text that count: all, or those whose hash is in `only`. sizes: the windows to
-    take; None: `window`, or the whole text if that is shorter. of: how many windows of the text count."""
+    """(key, size, pos, of, rich, riches, h, slots) of the windows of each text: all, or those whose hash is in `only`. sizes: the windows to
+    take; None: what window_of() says. rich: the hash is of placeholders. of, riches: how many windows, and rich ones, the text has."""
     sent = df.sparkSession.sparkContext.broadcast(only) if only is not None else None
 
     def look(rows: pa.RecordBatch) -> pa.RecordBatch:
@@ -135,34 +154,36 @@ def _windows(df: DataFrame, key: str, sizes: list[int] | None, window: int, only
         if known is not None:
             bits = np.zeros(1 << 20, bool)
             bits[known & np.uint64((1 << 20) - 1)] = True
-        doc, out, slots = [], [[] for _ in range(4)], []
+        doc, out, slots = [], [[] for _ in range(6)], []
         for k, text in enumerate(rows.column(1).to_pylist()):
-            words, tokens, kinds = _canonical[0](text or "")
-            for size in sizes or [min(window, len(words))]:
-                h, counts = window_hashes(tokens, kinds, size) if size else (np.zeros(0, np.uint64), np.zeros(0, bool))
+            words, tokens, kinds, plain = _canonical[0](text or "")
+            for size in sizes or [window_of(len(words), window)]:
+                h, rich = window_hashes(tokens, kinds, plain, size) if size else (np.zeros(0, np.uint64), np.zeros(0, bool))
                 if known is not None:
                     at = np.flatnonzero(bits[h & np.uint64((1 << 20) - 1)])
-                    at = at[np.isin(h[at], known) & counts[at]]
+                    at = at[np.isin(h[at], known)]
                 else:
-                    at = np.flatnonzero(counts)
+                    at = np.arange(len(h))
+                riches = int(rich.sum()) if len(at) else 0
                 for p in at.tolist():
                     doc.append(k)
-                    for o, v in zip(out, (size, p, int(counts.sum()), int(h[p : p + 1].view(np.int64)[0])), strict=True):
+                    for o, v in zip(out, (size, p, len(h), bool(rich[p]), riches, int(h[p : p + 1].view(np.int64)[0])), strict=True):
                         o.append(v)
                     slots.append([_EDGE.sub("", words[p + j]).lower() for j in np.flatnonzero(kinds[p : p + size]).tolist()])
-        return batch(**{key: rows.column(0).take(pa.array(doc, pa.int64()))}, size=pa.array(out[0], pa.int32()), pos=pa.array(out[1], pa.int64()), of=pa.array(out[2], pa.int64()), h=pa.array(out[3], pa.int64()), slots=pa.array(slots, pa.list_(pa.string())))
+        return batch(**{key: rows.column(0).take(pa.array(doc, pa.int64()))}, size=pa.array(out[0], pa.int32()), pos=pa.array(out[1], pa.int64()), of=pa.array(out[2], pa.int64()), rich=pa.array(out[3], pa.bool_()), riches=pa.array(out[4], pa.int64()), h=pa.array(out[5], pa.int64()), slots=pa.array(slots, pa.list_(pa.string())))
 
     kind = df.schema[key].dataType.simpleString()
-    return map_batches(df.select(key, "text"), look, f"{key} {kind}, size int, pos long, of long, h long, slots array<string>")
+    return map_batches(df.select(key, "text"), look, f"{key} {kind}, size int, pos long, of long, rich boolean, riches long, h long, slots array<string>")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", max_sent: int = MAX_SENT) -> DataFrame:
     """One row (doc_id, item_id, coverage, matched, exact) per document and benchmark item whose template windows it holds.
 
-    coverage: the share of the item's windows that the document has, along alignments whose values are exchanged consistently (equal
-    values of the item by equal values); rows have at least `coverage`. matched: how many windows that is. exact: no value is exchanged.
-    Items shorter than a window are one window. Windows of which over half is placeholders do not count, so an item of placeholders
-    alone matches nothing. Null and empty texts, and null ids, match nothing; repeated rows of a document or an item count once; an empty
+    coverage: the share of the item's windows that the document has with the item's values, whatever is around them, or along alignments
+    whose values are exchanged consistently (equal values of the item by equal values). Windows of which over half is placeholders count
+    only with the item's values; where leaving them out gives a larger share, that is the coverage. Rows have at least `coverage`.
+    matched: how many windows the document has. exact: no value is exchanged. Items of up to `window` words are one window, and those of
+    under three windows have shorter ones. Null and empty texts, and null ids, match nothing; repeated rows of a document or an item count once; an empty
     table on either side gives no rows. Whole texts are read; only the ids and texts are. Item windows up to max_sent are sent to the
     executors to thin the documents' windows before the join; more are joined as they are, with the same result."""
     left = docs.select(column(docs, id_col).alias("doc_id"), column(docs, text_col).cast("string").alias("text")).where("doc_id is not null")
@@ -176,14 +197,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW,
     if not n:
         sizes = [window]
     found = _windows(left, "doc_id", sizes, window, only).select("doc_id", "size", "pos", "h", "slots").distinct()
-    met = found.join(items.select("item_id", "size", F.col("pos").alias("item_pos"), "of", "h", F.col("slots").alias("item_slots")), ["size", "h"])
+    met = found.join(items.select("item_id", "size", F.col("pos").alias("item_pos"), "of", "rich", "riches", "h", F.col("slots").alias("item_slots")), ["size", "h"])
     met = materialize(met.withColumn("shift", F.col("pos") - F.col("item_pos")))
     line = ["doc_id", "item_id", "shift"]
     values = met.select(*line, F.explode(F.arrays_zip("item_slots", "slots")).alias("v")).groupBy(*line, "v.item_slots").agg(F.min("v.slots").alias("a"), F.max("v.slots").alias("b"))
-    values = values.groupBy(*line).agg(F.bool_or(F.col("a") != F.col("b")).alias("torn"), F.bool_or(F.col("a") != F.col("item_slots")).alias("changed"))
-    good = met.join(values, line, "left").where("not coalesce(torn, false)")
-    out = good.groupBy("doc_id", "item_id").agg(F.count_distinct("item_pos").alias("matched"), F.max("of").alias("of"), F.bool_and(~F.coalesce("changed", F.lit(False))).alias("exact"))
-    return out.withColumn("coverage", F.col("matched") / F.col("of")).where(F.col("coverage") >= coverage).select("doc_id", "item_id", "coverage", "matched", "exact")
+    values = values.groupBy(*line).agg(F.bool_or(F.col("a") != F.col("b")).alias("torn"), F.bool_or((F.col("a") != F.col("item_slots")) | (F.col("b") != F.col("item_slots"))).alias("changed"))
+    good = met.join(values, line, "left").where("slots = item_slots or (rich and not coalesce(torn, false))")
+    out = good.groupBy("doc_id", "item_id").agg(F.count_distinct("item_pos").alias("matched"), F.count_distinct(F.when(F.col("rich"), F.col("item_pos"))).alias("_rich"), F.max("of").alias("of"), F.max("riches").alias("_riches"), F.bool_and(~F.coalesce("changed", F.lit(False))).alias("exact"))
+    return out.withColumn("coverage", F.greatest(F.col("matched") / F.col("of"), F.col("_rich") / F.nullif(F.col("_riches"), F.lit(0)))).where(F.col("coverage") >= coverage).select("doc_id", "item_id", "coverage", "matched", "exact")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
