@@ -7,10 +7,13 @@ tokens are joined by hash; along each alignment of document and item, the exchan
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,23 +83,30 @@ class Canonical:
         self.empty[k], self.stops[k] = not bare, bool(_STOP.search(word))
         return k
 
-    def __call__(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-        """The words of a text that have letters or digits, their tokens' hashes, their kinds and the words' own hashes."""
-        if any(c in text for c in "0123456789"):
-            text = _GLUED.sub(" ", text)
-        words, begins = [], []
-        for line in text.split("\n"):
-            begins.append(len(words))
-            words += line.split()
-        if len(self.place) + len(words) > _MEMO:
-            self.place.clear()
-            if len(words) > _MEMO // 2:  # one very long text: what it has is found anew
-                self.__init__()
-                parts = [self._part(words[a : a + _MEMO // 2], a, begins) for a in range(0, len(words), _MEMO // 2)]
-                return [w for p in parts for w in p[0]], np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts])
-        return self._part(words, 0, begins)
-
-    def _part(self, words: list[str], at: int, begins: list[int]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    def __call__(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The words of the texts that have letters or digits, one text after the other, their tokens' hashes, their kinds, the words' own
+        hashes, and which text each is of."""
+        words, begins, counts = [], [], []
+        for text in texts:
+            if any(c in text for c in "0123456789"):
+                text = _GLUED.sub(" ", text)
+            before = len(words)
+            for line in text.split("\n"):
+                begins.append(len(words))
+                words += line.split()
+            counts.append(len(words) - before)
+        text_of = np.repeat(np.arange(len(texts)), counts)
+        if len(words) <= _MEMO // 2:
+            found = self._part(words, 0, begins)
+        else:  # one very long text: what it has is found part by part
+            parts = [self._part(words[a : a + _MEMO // 2], a, begins) for a in range(0, len(words), _MEMO // 2)]
+            found = tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+        keep, tokens, kinds, plain = found
+        if not keep.all():
+            words, tokens, kinds, plain, text_of = [w for w, x in zip(words, keep.tolist(), strict=True) if x], tokens[keep], kinds[keep], plain[keep], text_of[keep]
+        return words, tokens, kinds, plain, text_of
+
+    def _part(self, words: list[str], at: int, begins: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         if len(self.place) + len(words) > _MEMO:
             self.place.clear()
         get, new = self.place.get, self._new
@@ -105,33 +115,32 @@ class Canonical:
         starts[1:] = self.stops[k]
         b = np.array(begins) - at
         starts[b[(b >= 0) & (b < len(words))]] = 1
-        starts, keep = starts[:-1], ~self.empty[k]
-        if keep.all():
-            return words, self.hashes[starts, k], self.kinds[starts, k], self.plain[k]
-        return [w for w, x in zip(words, keep.tolist(), strict=True) if x], self.hashes[starts, k][keep], self.kinds[starts, k][keep], self.plain[k][keep]
+        starts = starts[:-1]
+        return ~self.empty[k], self.hashes[starts, k], self.kinds[starts, k], self.plain[k]
 
 
-def _mixed(tokens: np.ndarray, at: np.ndarray | slice, n: int, size: int, seed: int) -> np.ndarray:
+def _mixed(tokens: np.ndarray, sizes: list[int], seed: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The hashes of all windows of each size: a longer window's goes on from a shorter one's."""
+    h = np.full(len(tokens), seed, np.uint64)
     with np.errstate(over="ignore"):
-        h = np.uint64(size) * np.uint64(seed)
-        for j in range(size):
-            h = (h ^ tokens[j : j + n][at]) * np.uint64(0xD6E8FEB86659FD93)
+        for j in range(sizes[-1]):
+            h = (h[: len(tokens) - j] ^ tokens[j:]) * np.uint64(0xD6E8FEB86659FD93)
             h ^= h >> np.uint64(32)
-    return h
+            if j + 1 in sizes:
+                yield j + 1, h
 
 
-def window_hashes(tokens: np.ndarray, kinds: np.ndarray, plain: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of each window of `size` tokens, and whether enough of it is literal. Other windows' hashes are of the words as they are."""
-    n = len(tokens) - size + 1
-    if n < 1:
-        return np.zeros(0, np.uint64), np.zeros(0, bool)
-    h = _mixed(tokens, slice(None), n, size, 0x9E3779B97F4A7C15 >> 8)
+def windows(tokens: np.ndarray, kinds: np.ndarray, plain: np.ndarray, text_of: np.ndarray, sizes: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each size (ascending): the first words of the windows that lie in one text, their hashes, and whether enough of each is literal.
+    Other windows' hashes are of the words as they are."""
     held = np.concatenate(([0], np.cumsum(kinds == _LITERAL)))
-    rich = held[size:] - held[:-size] >= LITERAL * size
-    if not rich.all():
-        at = np.flatnonzero(~rich)
-        h[at] = _mixed(plain, at, n, size, 0xC2B2AE3D27D4EB4F >> 8)
-    return h, rich
+    sizes = [s for s in sizes if 0 < s <= len(tokens)]
+    if not sizes:
+        return
+    for (size, h), (_, own) in zip(_mixed(tokens, sizes, 0x9E3779B97F4A7C15 >> 8), _mixed(plain, sizes, 0xC2B2AE3D27D4EB4F >> 8), strict=True):
+        rich = held[size:] - held[:-size] >= LITERAL * size
+        at = np.flatnonzero(text_of[: len(h)] == text_of[size - 1 :])
+        yield size, at, np.where(rich, h, own)[at], rich[at]
 
 
 def window_of(n: int, window: int) -> int:
@@ -140,40 +149,99 @@ def window_of(n: int, window: int) -> int:
 
 
 _canonical: list[Canonical] = []
+#: Letters of texts that are looked at together.
+_LETTERS = 1 << 20
+
+
+class Known:
+    """A set of hashes, for asking which of many are in it: a bit table settles most, a sorted array the rest."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.sorted = np.unique(hashes)
+        self.mask = np.uint64((1 << max(20, int(len(self.sorted)).bit_length() + 3)) - 1)
+        self.bits = np.zeros(int(self.mask) + 1, bool)
+        self.bits[self.sorted & self.mask] = True
+
+    def where(self, h: np.ndarray) -> np.ndarray:
+        at = np.flatnonzero(self.bits[h & self.mask])
+        if not len(at):
+            return at
+        near = np.minimum(np.searchsorted(self.sorted, h[at]), len(self.sorted) - 1)
+        return at[self.sorted[near] == h[at]]
+
+
+_known: dict[str, Known] = {}
+
+
+def _known_of(name: str, sent: Broadcast) -> Known:
+    """What a broadcast holds, made once per worker."""
+    if name not in _known:
+        _known.clear()
+        _known[name] = Known(sent.value)
+    return _known[name]
 
 
-def _windows(df: DataFrame, key: str, sizes: list[int] | None, window: int, only: np.ndarray | None) -> DataFrame:
-    """(key, size, pos, of, rich, riches, h, slots) of the windows of each text: all, or those whose hash is in `only`. sizes: the windows to
-    take; None: what window_of() says. rich: the hash is of placeholders. of, riches: how many windows, and rich ones, the text has."""
-    sent = df.sparkSession.sparkContext.broadcast(only) if only is not None else None
+def _together(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """(index of the first, texts): neighbours of up to _LETTERS letters in all, or one longer text."""
+    first, held, size = 0, [], 0
+    for k, text in enumerate(texts):
+        if held and size + len(text) > _LETTERS:
+            yield first, held
+            first, held, size = k, [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield first, held
+
+
+def _slots(words: list[str], kinds: np.ndarray, at: int, size: int) -> list[str]:
+    return [_EDGE.sub("", words[at + j]).lower() for j in np.flatnonzero(kinds[at : at + size]).tolist()]
+
+
+def _item_windows(items: DataFrame, window: int) -> DataFrame:
+    """(item_id, size, pos, of, rich, riches, h, slots) of all windows of each item, whose size is what window_of() says. rich: the hash is
+    of placeholders. of, riches: how many windows, and rich ones, the item has."""
 
     def look(rows: pa.RecordBatch) -> pa.RecordBatch:
         if not _canonical:
             _canonical.append(Canonical())
-        known = sent.value if sent else None
-        if known is not None:
-            bits = np.zeros(1 << 20, bool)
-            bits[known & np.uint64((1 << 20) - 1)] = True
-        doc, out, slots = [], [[] for _ in range(6)], []
+        which, out, slots = [], [[] for _ in range(6)], []
         for k, text in enumerate(rows.column(1).to_pylist()):
-            words, tokens, kinds, plain = _canonical[0](text or "")
-            for size in sizes or [window_of(len(words), window)]:
-                h, rich = window_hashes(tokens, kinds, plain, size) if size else (np.zeros(0, np.uint64), np.zeros(0, bool))
-                if known is not None:
-                    at = np.flatnonzero(bits[h & np.uint64((1 << 20) - 1)])
-                    at = at[np.isin(h[at], known)]
-                else:
-                    at = np.arange(len(h))
-                riches = int(rich.sum()) if len(at) else 0
-                for p in at.tolist():
-                    doc.append(k)
-                    for o, v in zip(out, (size, p, len(h), bool(rich[p]), riches, int(h[p : p + 1].view(np.int64)[0])), strict=True):
-                        o.append(v)
-                    slots.append([_EDGE.sub("", words[p + j]).lower() for j in np.flatnonzero(kinds[p : p + size]).tolist()])
-        return batch(**{key: rows.column(0).take(pa.array(doc, pa.int64()))}, size=pa.array(out[0], pa.int32()), pos=pa.array(out[1], pa.int64()), of=pa.array(out[2], pa.int64()), rich=pa.array(out[3], pa.bool_()), riches=pa.array(out[4], pa.int64()), h=pa.array(out[5], pa.int64()), slots=pa.array(slots, pa.list_(pa.string())))
-
-    kind = df.schema[key].dataType.simpleString()
-    return map_batches(df.select(key, "text"), look, f"{key} {kind}, size int, pos long, of long, rich boolean, riches long, h long, slots array<string>")
+            words, tokens, kinds, plain, text_of = _canonical[0]([text or ""])
+            for size, at, h, rich in windows(tokens, kinds, plain, text_of, [window_of(len(words), window)]):
+                which += [k] * len(at)
+                for o, v in zip(out, (np.full(len(at), size), at, np.full(len(at), len(at)), rich, np.full(len(at), rich.sum()), h.view(np.int64)), strict=True):
+                    o += v.tolist()
+                slots += [_slots(words, kinds, p, size) for p in at.tolist()]
+        return batch(item_id=rows.column(0).take(pa.array(which, pa.int64())), size=pa.array(out[0], pa.int32()), pos=pa.array(out[1], pa.int64()), of=pa.array(out[2], pa.int64()), rich=pa.array(out[3], pa.bool_()), riches=pa.array(out[4], pa.int64()), h=pa.array(out[5], pa.int64()), slots=pa.array(slots, pa.list_(pa.string())))
+
+    kind = items.schema["item_id"].dataType.simpleString()
+    return map_batches(items, look, f"item_id {kind}, size int, pos long, of long, rich boolean, riches long, h long, slots array<string>")
+
+
+def _text_windows(docs: DataFrame, sizes: list[int], only: np.ndarray | None) -> DataFrame:
+    """(doc_id, size, pos, h, slots) of the windows of each text: all, or those whose hash is in `only`."""
+    sent, name = (docs.sparkSession.sparkContext.broadcast(only), uuid.uuid4().hex) if only is not None else (None, "")
+
+    def look(rows: pa.RecordBatch) -> pa.RecordBatch:
+        if not _canonical:
+            _canonical.append(Canonical())
+        which, out, slots = [], [[] for _ in range(3)], []
+        for first, texts in _together([t or "" for t in rows.column(1).to_pylist()]):
+            words, tokens, kinds, plain, text_of = _canonical[0](texts)
+            begin = np.searchsorted(text_of, np.arange(len(texts)))
+            for size, at, h, _ in windows(tokens, kinds, plain, text_of, sizes):
+                if sent is not None:
+                    hit = _known_of(name, sent).where(h)
+                    at, h = at[hit], h[hit]
+                which += (first + text_of[at]).tolist()
+                for o, v in zip(out, (np.full(len(at), size), at - begin[text_of[at]], h.view(np.int64)), strict=True):
+                    o += v.tolist()
+                slots += [_slots(words, kinds, p, size) for p in at.tolist()]
+        return batch(doc_id=rows.column(0).take(pa.array(which, pa.int64())), size=pa.array(out[0], pa.int32()), pos=pa.array(out[1], pa.int64()), h=pa.array(out[2], pa.int64()), slots=pa.array(slots, pa.list_(pa.string())))
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_batches(docs, look, f"doc_id {kind}, size int, pos long, h long, slots array<string>")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", max_sent: int = MAX_SENT) -> DataFrame:
@@ -188,15 +256,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW,
     executors to thin the documents' windows before the join; more are joined as they are, with the same result."""
     left = docs.select(column(docs, id_col).alias("doc_id"), column(docs, text_col).cast("string").alias("text")).where("doc_id is not null")
     right = benchmark.select(column(benchmark, item_col).alias("item_id"), column(benchmark, item_text_col).cast("string").alias("text")).where("item_id is not null")
-    items = materialize(_windows(right, "item_id", None, window, None).distinct())
+    items = materialize(_item_windows(right, window).distinct())
     sizes = sorted(r[0] for r in items.select("size").distinct().collect())
     hashes = items.select("h").distinct()
     only = None
     if (n := hashes.count()) <= max_sent:
-        only = np.array([r[0] for r in hashes.collect()], np.int64).view(np.uint64)
+        only = hashes.toArrow().column(0).to_numpy().view(np.uint64)
     if not n:
         sizes = [window]
-    found = _windows(left, "doc_id", sizes, window, only).select("doc_id", "size", "pos", "h", "slots").distinct()
+    found = _text_windows(left, sizes, only).distinct()
     met = found.join(items.select("item_id", "size", F.col("pos").alias("item_pos"), "of", "rich", "riches", "h", F.col("slots").alias("item_slots")), ["size", "h"])
     met = materialize(met.withColumn("shift", F.col("pos") - F.col("item_pos")))
     line = ["doc_id", "item_id", "shift"]
