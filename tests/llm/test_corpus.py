@@ -188,6 +188,23 @@ def test_shards_hold_the_mixture(spark, sf):
     assert (mixes.max(axis=1) - mixes.min(axis=1)).max() <= 2
 
 
+@pytest.mark.parametrize("total", [4_000_001, 2_000_003, 41, 40, 3])
+def test_shards_of_many_rows(spark, total):
+    rows = shards.cut_evenly(spark.range(total).withColumnRenamed("id", "place"), total, 40).groupBy("shard").agg(F.min("slot").alias("a"), F.max("slot").alias("b"), F.count("*").alias("n")).collect()
+    assert all(r.a == 0 and r.b == r.n - 1 and r.n - total // 40 in (0, 1) and 0 <= r.shard < 40 for r in rows) and sum(r.n for r in rows) == total
+
+
+def test_shards_of_the_last_of_many_rows(spark):
+    total = 10**11 + 7
+    last = shards.cut_evenly(spark.range(total - 3, total).withColumnRenamed("id", "place"), total, 40).collect()
+    assert {r.shard for r in last} == {39} and max(r.slot for r in last) == total // 40 - 1
+
+
+def test_shards_of_an_empty_source(spark):
+    rows = shards.assign_shards(spark.createDataFrame([(1, "a", ""), (2, "b", None), (3, "c", "=")], "doc_id long, text string, source string"), 2).collect()
+    assert {r.doc_id: r.source for r in rows} == {1: "", 2: None, 3: "="}
+
+
 def test_shards_hard(docs, none, tmp_path):
     rows = shards.assign_shards(docs, 4).collect()
     assert len(rows) == len(DOCS) and {r.size for r in rows if r.doc_id in (2, 3)} == {16} and {r.text_crc32 for r in rows if r.doc_id in (2, 3)} == {0}

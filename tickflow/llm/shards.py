@@ -9,8 +9,8 @@ from pyspark.sql.window import Window
 from tickflow.llm.common import column, materialize, read, utf8_length
 
 N_SHARDS, SEED, OVERHEAD = 40, "7", 16
-#: Rows that one task ranks, about; the number of buckets follows the table's size.
-BUCKET_ROWS = 50_000
+#: Rows that one task ranks, about; a table of fewer is dealt to all tasks as long as each gets LEAST_ROWS.
+BUCKET_ROWS, LEAST_ROWS = 50_000, 100
 
 
 def ranked(df: DataFrame, group: str, bucket: str, order: list[Column], name: str) -> DataFrame:
@@ -22,6 +22,13 @@ def ranked(df: DataFrame, group: str, bucket: str, order: list[Column], name: st
     return within.join(first, [group, bucket]).withColumn(name, F.col("before") + F.col("at")).drop("before", "at")
 
 
+def cut_evenly(rows: DataFrame, total: int, n_shards: int) -> DataFrame:
+    """rows with the shard and the slot of their `place` from 0 to total - 1; the n_shards runs of places differ by one at most. Whole
+    numbers only: shard k begins at k * total / n_shards, rounded up."""
+    rows = rows.withColumn("shard", F.expr(f"cast(cast(place AS decimal(20,0)) * {n_shards} div {max(total, 1)} AS int)"))
+    return rows.withColumn("slot", F.expr(f"place - cast((cast(shard AS decimal(20,0)) * {total} + {n_shards - 1}) div {n_shards} AS long)"))
+
+
 def assign_shards(df: DataFrame, n_shards: int = N_SHARDS, *, seed: str = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """One row (doc_id, size, text_crc32, source, shard, slot) per row of df.
 
@@ -35,17 +42,16 @@ def assign_shards(df: DataFrame, n_shards: int = N_SHARDS, *, seed: str = SEED,
     rows = materialize(rows)
     per_source = rows.groupBy("stratum").agg(F.count(F.lit(1)).alias("of"))
     total = rows.count()
-    buckets = min(65536, total // bucket_rows + 1)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(65536, max(total // bucket_rows, min(tasks, total // LEAST_ROWS)) + 1)
     order = [F.col("h"), F.col("doc_id").asc_nulls_first(), F.col("text_crc32"), F.col("size")]
     rows = rows.withColumn("part", F.floor(F.conv(F.substring("h", 1, 4), 16, 10).cast("int") * buckets / 65536).cast("int"))
     rows = ranked(rows, "stratum", "part", order, "rank").join(per_source, "stratum")
     rows = rows.withColumn("fraction", (2 * F.col("rank") - 1) / (2 * F.col("of")))
     rows = rows.withColumn("part", F.least(F.floor(F.col("fraction") * buckets), F.lit(buckets - 1)).cast("int")).withColumn("all", F.lit(0))
     rows = ranked(rows, "all", "part", [F.col("fraction"), *order], "place").withColumn("place", F.col("place") - 1)
-    shard = F.floor(F.col("place").cast("decimal(30,0)") * n_shards / max(total, 1)).cast("int")
-    rows = rows.withColumn("shard", shard)
-    start = F.ceil(F.col("shard").cast("decimal(30,0)") * total / n_shards).cast("long")
-    return rows.select("doc_id", "size", "text_crc32", F.nullif(F.substring("stratum", 2, 1 << 30), F.lit("")).alias("source"), "shard", (F.col("place") - start).alias("slot"))
+    rows = cut_evenly(rows, total, n_shards)
+    return rows.select("doc_id", "size", "text_crc32", F.when(F.col("stratum") != "", F.substring("stratum", 2, 1 << 30)).alias("source"), "shard", "slot")
 
 
 def write_shards(df: DataFrame, path: str, n_shards: int = N_SHARDS, *, id_col: str = "doc_id", **options) -> None:
