@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickflow.llm.common import materialize
@@ -14,52 +14,49 @@ from tickflow.llm.components import connected_components
 BLOCK = 1024
 
 
-def _near(a: str, b: str, similarity: float):
-    """Whether the lengths leave room for the similarity."""
-    x, y = F.col(a), F.col(b)
-    return F.least(x, y) >= F.greatest(x, y) * F.lit(similarity) - 1e-9
-
-
 def _shared(rows: DataFrame, common: int | None, others: int) -> DataFrame:
-    """A row (key, n, length, id) per row and key that n > 1 rows have. A key of over `common` rows is left out for rows that have `others`
-    or more rarer ones, shared or not."""
-    keyed = rows.select("id", "length", F.size("keys").alias("all"), F.explode("keys").alias("key"))
+    """A row (key, n, id) per row and key that n > 1 rows have. A key of over `common` rows is left out for rows that have `others` or more
+    rarer ones, shared or not."""
+    keyed = rows.select("id", F.explode("keys").alias("key"))
     counts = materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))  # written, so that a hot key's rows can be split
-    shared = materialize(keyed.join(counts, "key").select("key", "n", "length", "id", "all"))
+    shared = materialize(keyed.join(counts, "key").select("key", "n", "id"))
     if common is None:
-        return shared.drop("all")
+        return shared
     hot = shared.where(F.col("n") > common)
-    held = materialize(hot.groupBy("id").agg((F.first("all") - F.count(F.lit(1))).alias("rarer")).where(F.col("rarer") < others).select("id"))
-    return shared.where(F.col("n") <= common).unionByName(hot.join(held, "id", "left_semi")).drop("all")
+    held = hot.groupBy("id").agg(F.count(F.lit(1)).alias("hot")).join(rows.select("id", F.size("keys").alias("all")), "id").where(F.col("all") - F.col("hot") < others)
+    return shared.where(F.col("n") <= common).unionByName(hot.join(materialize(held.select("id")), "id", "left_semi"))
+
+
+def ends_of(pairs: DataFrame) -> DataFrame:
+    """(id) of what is in any pair (a, b)."""
+    return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
 
 
-def linked_groups(rows: DataFrame, similarity: float, contents: Callable[[DataFrame], DataFrame], verified: Callable[[DataFrame, DataFrame], DataFrame], *, common: int | None = None, others: int = 0, block: int = BLOCK) -> DataFrame:
-    """(node, component) of the rows (id, length, keys) that are linked to any: two rows are that share a key, whose lengths allow the
-    similarity, and whose pair (a, b) is among the edges (src, dst) that verified(pairs, contents) returns. contents(ids) fetches what
-    it needs to see of the rows.
+def linked_groups(rows: DataFrame, near: Column, verified: Callable[[DataFrame], DataFrame], *, common: int | None = None, others: int = 0, block: int = BLOCK) -> DataFrame:
+    """(node, component) of the rows (id, keys, ...) that are linked to any: two rows are that share a key, for whose other columns (those of
+    the second with b_ before their names) `near` holds, and whose pair (a, b) is among the edges (src, dst) that verified(pairs) returns.
 
     Each row is compared with the first row of each of its keys, and then only with rows of the key that are in other groups, so that no
     pairs within a group are written; a key of many rows is compared in pairs of blocks, so none lands whole in a task. With `common`, keys
     of more rows than that count only for rows that have under `others` rarer ones."""
-    met = _shared(rows, common, others)
-    leads = materialize(met.groupBy("key").agg(F.min("id").alias("b"), F.min_by("length", "id").alias("b_length")))
-    star = materialize(met.join(leads, "key").where("id <> b").where(_near("length", "b_length", similarity)).select(F.col("id").alias("a"), "b").distinct())
-    many = met.where("n > 2")
-    wanted = star.select(F.col("a").alias("id")).unionByName(star.select(F.col("b").alias("id"))).unionByName(many.select("id")).distinct()
-    seen = materialize(contents(wanted))
-    edges = materialize(verified(star, seen))
+    seen = [c for c in rows.columns if c not in ("id", "keys")]
+    other = [F.col(c).alias(f"b_{c}") for c in seen]
+    met = materialize(_shared(rows, common, others).join(rows.select("id", *seen), "id"))
+    leads = materialize(met.groupBy("key").agg(F.min("id").alias("b"), *[F.min_by(c, "id").alias(f"b_{c}") for c in seen]))
+    star = materialize(met.join(leads, "key").where("id <> b").where(near).select(F.col("id").alias("a"), "b").distinct())
+    edges = materialize(verified(star))
     groups = materialize(connected_components(edges))
 
-    own = many.join(groups, F.col("id") == F.col("node"), "left").select("key", "n", "length", "id", F.coalesce("component", "id").alias("own"))
-    own = materialize(own)
+    own = materialize(met.where("n > 2").join(groups, F.col("id") == F.col("node"), "left").withColumn("own", F.coalesce("component", "id")).drop("node", "component"))
     largest = own.groupBy("key", "own").agg(F.count(F.lit(1)).alias("size")).groupBy("key").agg(F.max_by("own", F.struct("size", "own")).alias("big"), F.count(F.lit(1)).alias("groups"))
     largest = materialize(largest.where("groups > 1").select("key", "big"))
-    split = materialize(own.join(largest, "key").withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn("at", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
+    split = own.join(largest, "key").withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn("at", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    split = materialize(split)
     dealt = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = split.select("key", F.col("at").alias("i"), dealt.alias("j"), "length", F.col("id").alias("a"), "own", "big")
-    right = split.where("own <> big").select("key", dealt.alias("i"), F.col("at").alias("j"), F.col("length").alias("b_length"), F.col("id").alias("b"), F.col("own").alias("b_own"))
-    cross = left.join(right, ["key", "i", "j"]).where("own <> b_own and (own = big or a < b)").where(_near("length", "b_length", similarity)).select("a", "b").distinct()
-    more = materialize(verified(cross, seen))
-    if not more.isEmpty():
-        groups = connected_components(edges.unionByName(more))
-    return groups
+    left = split.select("key", F.col("at").alias("i"), dealt.alias("j"), *seen, F.col("id").alias("a"), "own", "big")
+    right = split.where("own <> big").select("key", dealt.alias("i"), F.col("at").alias("j"), *other, F.col("id").alias("b"), F.col("own").alias("b_own"))
+    cross = materialize(left.join(right, ["key", "i", "j"]).where("own <> b_own and (own = big or a < b)").where(near).select("a", "b").distinct())
+    if cross.isEmpty():
+        return groups
+    more = materialize(verified(cross))
+    return groups if more.isEmpty() else connected_components(edges.unionByName(more))
