@@ -12,7 +12,7 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -30,20 +30,22 @@ _MEMO = 500_000
 BUCKET_ROWS, BUCKET_ROUNDS, MOST_BUCKETS = 5_000, 512, 1 << 17
 
 
-class Memo:
-    """What was computed for strings, the most recent ones: the newer of two generations fills, then the older is dropped."""
+class Memo(dict):
+    """What make(key) gives, for the most recent keys: the newer of two generations fills, then the older is dropped."""
 
-    def __init__(self, most: int):
-        self.most, self.new, self.old = most, {}, {}
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
 
-    def missing(self, keys: set[str]) -> set[str]:
-        """The keys that nothing is known of; what is known is in `new` afterwards."""
-        if len(self.new) > self.most:
-            self.old, self.new = self.new, {}
-        rest = keys.difference(self.new)
-        again = rest.intersection(self.old)
-        self.new.update((k, self.old[k]) for k in again)
-        return rest - again
+    def __missing__(self, key: str) -> bytes:
+        found = self.old.get(key)
+        self[key] = found = self.make(key) if found is None else found
+        return found
+
+    def turn(self) -> None:
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
 
 
 def _byte_letters() -> list[str]:
@@ -57,8 +59,8 @@ class Encoder:
     """Token ids of whole texts, each as little-endian numbers of two or four bytes.
 
     The vocabulary's own first step cuts a text into runs of letters, digits or punctuation, each with a lone space before it, and line
-    feeds. In texts of Latin letters without apostrophes, whose white space is lone spaces and line feeds, these cuts are the matches of
-    one pattern; the vocabulary's model then encodes each new run once. Other texts are encoded whole."""
+    feeds. In texts of Latin letters without apostrophes, whose white space is lone line feeds and lone spaces before runs, these cuts are
+    the matches of one pattern; the vocabulary's model then encodes each new run once. Other texts are encoded whole."""
 
     _RUNS = re.compile("(?: ?(?:[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+|[0-9]+|[!-&(-/:-@\\[-`{-~]+))|\\n")
 
@@ -70,7 +72,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.kind, self.letter = ("<u2", "H") if self.tokenizer.get_vocab_size() <= 1 << 16 else ("<u4", "I")
         self.letters = dict(enumerate(_byte_letters()))
-        self.runs = Memo(_MEMO)
+        self.runs = Memo(self._run, _MEMO)
 
     def _packed(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{self.letter}", *ids)
@@ -78,27 +80,30 @@ class Encoder:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [self._packed(x.ids) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _run(self, run: str, tokenize) -> bytes:
-        return self._packed([t.id for t in tokenize(run.encode().decode("latin-1").translate(self.letters))])
+    def _run(self, run: str) -> bytes:
+        return self._packed([t.id for t in self.tokenizer.model.tokenize(run.encode().decode("latin-1").translate(self.letters))])
 
     @classmethod
     def cut(cls, text: str) -> list[str] | None:
         """The runs of a text, or None for a text that has to be encoded whole."""
-        if text.count(" ") + text.count("\n") + 1 != len(text.split()):
+        if "\n\n" in text:
             return None
         runs = cls._RUNS.findall(text)
         return runs if sum(map(len, runs)) == len(text) else None
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.cut(t) for t in texts]
-        seen: set[str] = set()
-        for c in cut:
-            if c is not None:
-                seen.update(c)
-        tokenize = self.tokenizer.model.tokenize
-        self.runs.new.update([(r, self._run(r, tokenize)) for r in self.runs.missing(seen)])
-        known, rest = self.runs.new.__getitem__, iter(self._whole([t for t, c in zip(texts, cut, strict=True) if c is None]))
-        return [next(rest) if c is None else b"".join(map(known, c)) for c in cut]
+        out, whole = [], []
+        for k, text in enumerate(texts):
+            runs = self.cut(text)
+            if runs is None:
+                whole.append(k)
+                out.append(b"")
+            else:
+                self.runs.turn()
+                out.append(b"".join(map(self.runs.__getitem__, runs)))
+        for k, ids in zip(whole, self._whole([texts[k] for k in whole]), strict=True):
+            out[k] = ids
+        return out
 
 
 def vocabulary_path() -> str:
@@ -177,27 +182,32 @@ def pack(df: DataFrame, *, length: int = LENGTH, block: int = BLOCK, weights: Ma
     lists = parts.groupBy("row").agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
 
     def cut(rows: pa.RecordBatch) -> pa.RecordBatch:
-        doc, out = [], [[] for _ in range(7)]
-        for k, (n, ids, pieces) in enumerate(zip(*(rows.column(c).to_pylist() for c in (1, 2, 3)), strict=True)):
-            tokens = np.frombuffer(ids, f"<u{len(ids) // n}").astype("<u4")
-            runs: list[list[int]] = []
-            for p in pieces:
-                a, c, at = p["start"], p["count"], p["at"]
-                while c:
-                    take = min(c, length - at % length)
-                    if runs and at % length and runs[-1][2] + runs[-1][1] == at:
-                        runs[-1][1] += take
-                    else:
-                        runs.append([a, take, at])
-                    a, c, at = a + take, c - take, at + take
-            for a, c, at in runs:
-                own = tokens[a : a + c]
-                doc.append(k)
-                for o, v in zip(out, (a, c, zlib.crc32(own.tobytes()), n, at // length, at % length, own.tolist() if with_ids else None), strict=True):
-                    o.append(v)
-        names = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
-        more = {"ids": pa.array(out[6], pa.list_(pa.int32()))} if with_ids else {}
-        return batch(doc_id=rows.column(0).take(pa.array(doc, pa.int64())), **{x: pa.array(o, pa.int64()) for x, o in zip(names, out, strict=False)}, **more)
+        n = rows.column(1).to_numpy()
+        ids, lists = rows.column(2).cast(pa.binary()), rows.column(3)
+        spans = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1]
+        width = (spans[-1] - spans[0]) // max(n.sum(), 1)
+        tokens = np.frombuffer(ids.buffers()[2], np.uint8)[spans[0] : spans[-1]].view(f"<u{width}").astype("<u4") if len(n) else np.zeros(0, "<u4")
+        pieces = lists.flatten()
+        start, count, at = (pieces.field(x).to_numpy() for x in ("start", "count", "at"))
+        row = np.repeat(np.arange(len(n)), lists.value_lengths().to_numpy())
+        # each piece at the ends of sequences, then what lies side by side in one sequence together
+        first = at // length
+        parts = (at + count - 1) // length - first + 1
+        of = np.repeat(np.arange(len(at)), parts)
+        sequence = first[of] + np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
+        low, high = np.maximum(at[of], sequence * length), np.minimum((at + count)[of], (sequence + 1) * length)
+        row, start = row[of], start[of] + low - at[of]
+        new = np.ones(len(of), bool)
+        new[1:] = (row[1:] != row[:-1]) | (sequence[1:] != sequence[:-1]) | (low[1:] != high[:-1])
+        begin = np.flatnonzero(new)
+        size = np.add.reduceat(high - low, begin) if len(begin) else np.zeros(0, np.int64)
+        row, start, sequence, low = row[begin], start[begin], sequence[begin], low[begin]
+        ends = np.cumsum(size)  # a row's pieces, in order, are its ids
+        data = memoryview(tokens.tobytes())
+        crc = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip((ends - size).tolist(), ends.tolist(), strict=True)]
+        columns = {"start": start, "length": size, "ids_crc32": crc, "doc_tokens": n[row], "sequence_id": sequence, "offset": low % length}
+        more = {"ids": pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(tokens.astype(np.int32)))} if with_ids else {}
+        return batch(doc_id=rows.column(0).take(pa.array(row, pa.int64())), **{x: pa.array(v, pa.int64()) for x, v in columns.items()}, **more)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     met = rows.join(lists, "row").select("doc_id", "n", "ids", "pieces")
