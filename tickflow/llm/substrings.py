@@ -131,7 +131,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFra
 
     edges = materialize(map_batches(docs.select("row", "part", "text"), graph, "row long, part long, s int, n short, hi short, node long, edge long"))
     nodes = edges.groupBy("node").agg(F.count(F.lit(1)).alias("times"), F.min("edge").alias("least"), F.max("edge").alias("most")).where("times > 1")
-    kept = materialize(edges.join(nodes.select("node", (F.col("least") != F.col("most")).alias("branching")), "node"))
+    nodes = materialize(nodes.select("node", (F.col("least") != F.col("most")).alias("branching")))  # written, so that a hot node's edges can be split
+    kept = materialize(edges.join(nodes, "node"))
     straight = kept.where("not branching").select("row", "part", F.col("s").cast("int").alias("s"), F.col("n").cast("int").alias("n"))
 
     kinds = kept.where("branching").groupBy("node", "edge").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("row", "part", "s", "n", "hi")).alias("at"))
