@@ -18,39 +18,96 @@ from pyspark.sql import functions as F
 
 from tickflow.llm.common import batch, column, map_batches, materialize, read
 from tickflow.llm.components import connected_components
+from tickflow.llm.linked import ends_of, linked_groups
 
 SHINGLE, TAU, SEED, BITS = 4, 4, 42, 64
 #: Fingerprints of one key that a task compares at a time; a larger key is compared in pairs of blocks.
 BLOCK = 1024
+#: Keys of a sketch, and the least hashes that each is of.
+SKETCH, OF = 6, 3
 _HASHES = 1 << 16
 
 
-def fingerprint(text: str | None, size: int = SHINGLE) -> int:
-    """The 64-bit SimHash of a whole text's word shingles (A-Z lower-cased, repeats counted); 0 without words."""
+def _shingle_hashes(text: str | None, size: int) -> Iterator[tuple[bytes, int, np.ndarray]]:
+    """(the words joined, number of shingles, hashes) of parts of a whole text's word shingles (A-Z lower-cased, repeats counted)."""
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = max(1, len(words) - size + 1)
     starts, ends = starts[:n].tolist(), ends[min(size, len(words)) - 1 :].tolist()
-    votes, digest = np.zeros(BITS, np.int64), xxhash.xxh64_intdigest
+    digest = xxhash.xxh64_intdigest
     for at in range(0, n, _HASHES):
-        part = np.array([digest(line[a:b], SEED) for a, b in zip(starts[at : at + _HASHES], ends[at : at + _HASHES], strict=True)], "<u8")
-        votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        yield line, n, np.array([digest(line[a:b], SEED) for a, b in zip(starts[at : at + _HASHES], ends[at : at + _HASHES], strict=True)], "<u8")
+
+
+def _votes(part: np.ndarray) -> np.ndarray:
+    return np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+
+
+def _majority(votes: np.ndarray, n: int) -> int:
     return int(np.packbits(2 * votes > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(df: DataFrame, size: int = SHINGLE, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) of every row; fp holds the 64 bits in a signed long."""
+def fingerprint(text: str | None, size: int = SHINGLE) -> int:
+    """The 64-bit SimHash of a whole text's word shingles; 0 without words."""
+    votes, n = np.zeros(BITS, np.int64), 0
+    for _, n, part in _shingle_hashes(text, size):
+        votes += _votes(part)
+    return _majority(votes, n)
+
+
+def sketch(text: str | None, size: int) -> tuple[int, int, int, np.ndarray, list[int]]:
+    """The fingerprint, two hashes of the words, the distinct shingles' hashes and SKETCH keys: each is of the OF least of these hashes under
+    one mixing, so texts of shingle similarity s share one with probability 1 - (1 - s ** OF) ** SKETCH."""
+    votes, n, parts, line = np.zeros(BITS, np.int64), 0, [], b""
+    for line, n, part in _shingle_hashes(text, size):
+        votes += _votes(part)
+        parts.append(part)
+    if not parts:
+        return 0, 0, 0, np.zeros(0, np.uint64), []
+    own, keys = np.unique(np.concatenate(parts)), []
+    with np.errstate(over="ignore"):
+        for k in range(SKETCH):
+            x = (own ^ np.uint64(xxhash.xxh64_intdigest(b"mix", k))) * np.uint64(0xD6E8FEB86659FD93)
+            x ^= x >> np.uint64(32)
+            x *= np.uint64(0xD6E8FEB86659FD93)
+            least = np.sort(np.partition(x, OF - 1)[:OF] if len(x) > OF else x)
+            keys.append(xxhash.xxh64_intdigest(least.tobytes(), k))
+    return _majority(votes, n), xxhash.xxh64_intdigest(line, 1), xxhash.xxh64_intdigest(line, 2), own, keys
+
+
+def _signed(values: list[int]) -> pa.Array:
+    return pa.array(np.array(values, np.uint64).view(np.int64), pa.int64())
+
+
+def fingerprints(df: DataFrame, size: int = SHINGLE, *, sketches: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, fp) of every row; fp holds the 64 bits in a signed long. With sketches, also h and g, two hashes of the words, length, the
+    number of distinct shingles, and keys, by which similar texts meet."""
 
     def look(rows: pa.RecordBatch) -> pa.RecordBatch:
-        found = np.array([fingerprint(t, size) for t in rows.column(1).to_pylist()], np.uint64)
-        return batch(doc_id=rows.column(0), fp=pa.array(found.view(np.int64)))
+        if not sketches:
+            return batch(doc_id=rows.column(0), fp=_signed([fingerprint(t, size) for t in rows.column(1).to_pylist()]))
+        fp, h, g, own, keys = zip(*[sketch(t, size) for t in rows.column(1).to_pylist()], strict=True) if rows.num_rows else ([],) * 5
+        ends = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
+        return batch(doc_id=rows.column(0), fp=_signed(fp), h=_signed(h), g=_signed(g), length=pa.array([len(o) for o in own], pa.int64()), keys=pa.ListArray.from_arrays(pa.array(ends), _signed([x for k in keys for x in k])))
 
     docs = df.select(column(df, id_col).alias("doc_id"), column(df, text_col).cast("string").alias("text"))
-    return map_batches(docs, look, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long")
+    more = ", h long, g long, length long, keys array<long>" if sketches else ""
+    return map_batches(docs, look, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long{more}")
+
+
+def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
+    """(id, own) of (id, text): the distinct shingles' hashes."""
+
+    def look(rows: pa.RecordBatch) -> pa.RecordBatch:
+        own = [np.unique(np.concatenate(p)) if (p := [x for _, _, x in _shingle_hashes(t, size)]) else np.zeros(0, np.uint64) for t in rows.column(1).to_pylist()]
+        ends = np.concatenate(([0], np.cumsum([len(o) for o in own]))).astype(np.int32)
+        return batch(id=rows.column(0), own=pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*own, np.zeros(0, np.uint64)]).view(np.int64))))
+
+    return map_batches(docs, look, "id long, own array<long>")
 
 
 def segments(tau: int) -> list[tuple[int, int]]:
@@ -160,17 +217,41 @@ def links(nodes: DataFrame, tau: int = TAU, *, length: int | None = None, block:
     return met.repartition(*by).sortWithinPartitions(*by).mapInArrow(compare, "src long, dst long").distinct()
 
 
-def near_duplicates(df: DataFrame, *, size: int = SHINGLE, tau: int = TAU, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_texts(df: DataFrame, prints: DataFrame, nodes: DataFrame, similarity: float, size: int, id_col: str, text_col: str) -> DataFrame:
+    """Links (src, dst) between the nodes of texts whose sets of shingles have that Jaccard similarity, found by the sketches' keys and
+    verified on the whole sets."""
+    texts = prints.where("doc_id is not null and length > 0").groupBy("h", "g").agg(F.min(F.col("doc_id").cast("long")).alias("id"), F.min("fp").alias("fp"), F.min("length").alias("length"), F.first("keys").alias("keys"))
+    texts = materialize(texts.select("id", "fp", "length", "keys"))
+    docs = df.select(column(df, id_col).cast("long").alias("id"), column(df, text_col).cast("string").alias("text"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        sets = materialize(shingle_sets(docs.join(ends_of(pairs), "id", "left_semi"), size).dropDuplicates(["id"]))
+        both = pairs.join(sets.select(F.col("id").alias("a"), F.col("own").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("own").alias("y")), "b")
+        both = both.select("a", "b", F.size("x").alias("m"), F.size("y").alias("n"), F.size(F.array_intersect("x", "y")).alias("both"))
+        return both.where(F.col("both") >= similarity * (F.col("m") + F.col("n") - F.col("both")) - 1e-9).select(F.col("a").alias("src"), F.col("b").alias("dst"))
+
+    near = F.least("length", "b_length") >= similarity * F.greatest("length", "b_length") - 1e-9
+    groups = linked_groups(texts.select("id", "length", "keys"), near, verified)
+    of = texts.select("id", "fp").join(nodes, "fp").select("id", F.col("node").alias("at"))
+    left = groups.where("node <> component").join(of.withColumnRenamed("id", "node").withColumnRenamed("at", "src"), "node")
+    return left.join(materialize(of).withColumnRenamed("id", "component").withColumnRenamed("at", "dst"), "component").select("src", "dst")
+
+
+def near_duplicates(df: DataFrame, *, size: int = SHINGLE, tau: int = TAU, similarity: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row (doc_id, fingerprint, component_id) per row of df; component_id is the smallest id reachable over links of at most tau
-    differing bits, the row's own included.
+    differing bits, the row's own included. With `similarity`, texts whose sets of shingles are that similar (Jaccard) are linked too: at
+    0.8 fingerprints differ in about ten bits, which no fingerprint key finds.
 
     Ids are whole numbers. Texts without words (null, empty, white space) have fingerprint 0 and are linked like any other; texts of fewer
     words than a shingle are one shingle. Rows with a null id keep their fingerprint, are linked to nothing and have a null component.
     Repeated rows each give a row. An empty table gives none; other columns of df are not looked at. Documents of one fingerprint are one
-    node, so that copies cost nothing."""
-    prints = materialize(fingerprints(df, size, id_col=id_col, text_col=text_col))
+    node, so that copies cost nothing. Similar texts are found with probability 1 - (1 - s ** 3) ** 6 (0.986 at s = 0.8), one pair at a time."""
+    prints = materialize(fingerprints(df, size, sketches=similarity is not None, id_col=id_col, text_col=text_col))
     nodes = materialize(prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").cast("long").alias("node")))
-    groups = connected_components(links(nodes, tau))
+    edges = links(nodes, tau)
+    if similarity is not None:
+        edges = edges.unionByName(similar_texts(df, prints, nodes, similarity, size, id_col, text_col))
+    groups = connected_components(edges)
     parts = nodes.join(groups, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     kind = prints.schema["doc_id"].dataType
     out = prints.join(parts, "fp", "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).cast(kind))
@@ -178,10 +259,17 @@ def near_duplicates(df: DataFrame, *, size: int = SHINGLE, tau: int = TAU, id_co
 
 
 def drop_near_duplicates(df: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of df that are the first of their component, with df's columns, and those with a null id. Ids are unique."""
-    parts = near_duplicates(df, id_col=id_col, **options)
+    """The rows of df that are the first of their component, with df's columns, and those with a null id. Of rows that have the id of one
+    that stays, one stays."""
+    parts = materialize(near_duplicates(df, id_col=id_col, **options).select("doc_id", "component_id"))
+    key = column(df, id_col)
     gone = parts.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone"))
-    return df.join(gone, column(df, id_col) == F.col("__gone"), "left_anti")
+    kept = df.join(gone, key == F.col("__gone"), "left_anti")
+    again = materialize(parts.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__again")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__again"))
+    if again.isEmpty():
+        return kept
+    same = key == F.col("__again")
+    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates([id_col]))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
