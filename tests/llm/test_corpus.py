@@ -129,6 +129,39 @@ def test_simhash_hard(docs, none):
     assert simhash.near_duplicates(none).count() == 0
 
 
+def shingle_set(text, k=5):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
+
+
+def similar_texts(texts, least):
+    """All pairs (i, j) of different texts whose shingle sets have that Jaccard similarity."""
+    sets = [shingle_set(t) for t in texts]
+    return [(i, j) for i in range(len(texts)) for j in range(i) if sets[i] and sets[j] and texts[i] != texts[j] and len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j])]
+
+
+def test_similar_texts_are_linked(spark):
+    """Against all pairs by shingle similarity: copies of 0.7 to 1, one or a few words exchanged in texts of 8 to 400 words."""
+    rng = np.random.default_rng(3)
+    word = lambda: "".join(rng.choice(list("abcdefghilmnoprstu"), 5))
+    texts = []
+    for n in (8, 30, 60, 120, 400):
+        for _ in range(40):
+            base = [word() for _ in range(n)]
+            copy = list(base)
+            for at in rng.choice(n, max(1, int(n * rng.uniform(0, 0.035))), replace=False):
+                copy[at] = word()
+            texts += [" ".join(base), " ".join(copy if n > 8 else [*base, word()])]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    part = {r.doc_id: r.component_id for r in simhash.near_duplicates(frame, size=5, similarity=0.8).collect()}
+    pairs = similar_texts(texts, 0.8)
+    assert len(pairs) > 60 and sum(part[i] == part[j] for i, j in pairs) / len(pairs) >= 0.95
+    prints = [plain_fingerprint(t, 5) for t in texts]
+    close = [(i, j) for i in range(len(texts)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4]
+    top = roots(len(texts), pairs + close)
+    assert all(top[i] == top[part[i]] for i in range(len(texts)))
+
+
 # 3 -------------------------------------------------------------------------------------------------------------------------------------
 
 
@@ -563,6 +596,36 @@ def test_warc(spark, tmp_path):
 # pipeline ------------------------------------------------------------------------------------------------------------------------------
 
 
+def check_stage(name, old, new, sf, spark):
+    """One stage's rows against a plain version of what it has to do."""
+    import corpus_pipeline as cp
+
+    if name == "quality":
+        bad = {r.doc_id for r in quality.quality_scores(spark.createDataFrame([(r.doc_id, r.text) for r in old.values()], "doc_id long, text string"), common.read(spark, sf, "labels")).where("score < 0.3").collect()}
+        assert set(old) - set(new) == bad
+    elif name == "lines":
+        assert set(old) == set(new)
+        texts = sorted((d, r.text) for d, r in old.items())
+        rows = lines.line_groups(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+        check_lines(texts, rows, 0.95)
+        kept = {(r.doc_id, r.line_no): r.kept for r in rows}
+        for d, t in texts:
+            want = None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if kept[d, k])
+            assert new[d].text == want and (t is None or new[d].n_chars == len(want))
+    elif name == "near_duplicates":
+        ids = sorted(old)
+        texts = [old[d].text for d in ids]
+        prints = [plain_fingerprint(t, cp.SHINGLE) for t in texts]
+        near = similar_texts(texts, cp.SIMILARITY)
+        top = roots(len(ids), near + [(i, j) for i in range(len(ids)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4])
+        assert {ids[k] for k in set(top)} <= set(new)  # clean documents and the first of each group stay
+        assert len(set(new) - {ids[k] for k in set(top)}) <= 0.05 * len(set(top)) and len(new) < len(old)
+    else:
+        items = [r.text for r in common.read(spark, sf, "benchmark").collect()]
+        gone = set(old) - set(new)
+        assert gone == {d for d, r in old.items() if any(x in (r.text or "") for x in items)}
+
+
 def test_pipeline(spark, sf):
     import corpus_pipeline as cp
 
@@ -573,27 +636,30 @@ def test_pipeline(spark, sf):
         assert after.columns == columns, name
         old, new = ({r.doc_id: r for r in x.collect()} for x in (before, after))
         assert set(new) <= set(old) and len(new) == after.count()
-        if name == "quality":
-            bad = {r.doc_id for r in quality.quality_scores(before, common.read(spark, sf, "labels")).where("score < 0.3").collect()}
-            assert set(old) - set(new) == bad
-        elif name == "lines":
-            groups, _ = plain_groups([(r.doc_id, r.text) for r in old.values()])
-            for d, r in old.items():
-                assert new[d].text == "\n".join(x for k, x in enumerate(r.text.split("\n")) if groups.get((d, k), (d, k)) == (d, k)) and new[d].n_chars == len(new[d].text)
-        elif name == "near_duplicates":
-            ids = sorted(old)
-            prints = [plain_fingerprint(old[d].text, cp.SHINGLE) for d in ids]
-            top = roots(len(ids), [(i, j) for i in range(len(ids)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4])
-            assert set(new) == {ids[k] for k in set(top)}
-        else:
-            items = [r.text for r in common.read(spark, sf, "benchmark").collect()]
-            assert not any(x in r.text for r in new.values() for x in items)
+        check_stage(name, old, new, sf, spark)
         docs = after
     rows = cp.STAGES[-1][1](spark, docs, sf).toPandas()
     unpacked(rows)
     assert rows.doc_id.nunique() == docs.count()
 
 
+def test_stages_on_hard_rows(spark, docs, sf):
+    """Nulls, empty and very long texts, repeated rows and clashing columns: each stage keeps the columns, and rows with a null id or text
+    are treated as its docstring says."""
+    import corpus_pipeline as cp
+
+    left = {"quality": None, "lines": {1, 2, 3, 4, 5, 6, 7, None}, "near_duplicates": {1, 2, 5, 7, None}, "decontamination": {1, 2, 3, 4, 5, 6, 7, None}}
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        rows = out.collect()
+        assert out.columns == docs.columns, name
+        ids = {r.doc_id for r in rows}
+        assert None in ids and (left[name] is None or ids == left[name]), name
+        if name in ("lines", "decontamination"):
+            assert len(rows) == len(DOCS)
+    unpacked(cp.packing(spark, docs, sf).toPandas())
+
+
 def test_pipeline_of_nothing(spark, tmp_path, sf):
     import corpus_pipeline as cp
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickflow.llm.common import materialize
+from tickflow.llm.common import drop_table, materialize
 from tickflow.llm.components import connected_components
 
 #: Rows of one key that a task compares with as many others; a larger key is compared in pairs of blocks.
@@ -32,30 +32,37 @@ def ends_of(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
 
 
-def linked_groups(rows: DataFrame, near: Column, verified: Callable[[DataFrame], DataFrame], *, common: int | None = None, others: int = 0, block: int = BLOCK) -> DataFrame:
+def linked_groups(rows: DataFrame, near: Column, verified: Callable[[DataFrame], DataFrame], *, common: int | None = None, others: int = 0, block: int = BLOCK, drop: bool = False) -> DataFrame:
     """(node, component) of the rows (id, keys, ...) that are linked to any: two rows are that share a key, for whose other columns (those of
     the second with b_ before their names) `near` holds, and whose pair (a, b) is among the edges (src, dst) that verified(pairs) returns.
 
     Each row is compared with the first row of each of its keys, and then only with rows of the key that are in other groups, so that no
     pairs within a group are written; a key of many rows is compared in pairs of blocks, so none lands whole in a task. With `common`, keys
-    of more rows than that count only for rows that have under `others` rarer ones."""
+    of more rows than that count only for rows that have under `others` rarer ones. With `drop`, the written table of rows is deleted
+    once it is read."""
     seen = [c for c in rows.columns if c not in ("id", "keys")]
     other = [F.col(c).alias(f"b_{c}") for c in seen]
     met = materialize(_shared(rows, common, others).join(rows.select("id", *seen), "id"))
     leads = materialize(met.groupBy("key").agg(F.min("id").alias("b"), *[F.min_by(c, "id").alias(f"b_{c}") for c in seen]))
+    if drop:
+        drop_table(rows)
     star = materialize(met.join(leads, "key").where("id <> b").where(near).select(F.col("id").alias("a"), "b").distinct())
     edges = materialize(verified(star))
     groups = materialize(connected_components(edges))
 
+    drop_table(leads)
     own = materialize(met.where("n > 2").join(groups, F.col("id") == F.col("node"), "left").withColumn("own", F.coalesce("component", "id")).drop("node", "component"))
+    drop_table(met)
     largest = own.groupBy("key", "own").agg(F.count(F.lit(1)).alias("size")).groupBy("key").agg(F.max_by("own", F.struct("size", "own")).alias("big"), F.count(F.lit(1)).alias("groups"))
     largest = materialize(largest.where("groups > 1").select("key", "big"))
     split = own.join(largest, "key").withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn("at", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     split = materialize(split)
+    drop_table(own)
     dealt = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     left = split.select("key", F.col("at").alias("i"), dealt.alias("j"), *seen, F.col("id").alias("a"), "own", "big")
     right = split.where("own <> big").select("key", dealt.alias("i"), F.col("at").alias("j"), *other, F.col("id").alias("b"), F.col("own").alias("b_own"))
     cross = materialize(left.join(right, ["key", "i", "j"]).where("own <> b_own and (own = big or a < b)").where(near).select("a", "b").distinct())
+    drop_table(split)
     if cross.isEmpty():
         return groups
     more = materialize(verified(cross))
