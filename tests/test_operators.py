@@ -224,9 +224,9 @@ def test_record(spark):
 
 def test_rules(spark):
     slices = spark.createDataFrame([("1", 60, 0.2, 0.9, 0.1, 0.0), ("2", 60, 0.1, 0.3, 0.4, 0.3), ("3", 10, 0.0, 0.3, 0.4, 0.3)], "model_version string, n long, accuracy double, share_DOWN double, share_STABLE double, share_UP double")
-    assert alerts.accuracy_rule(slices).first()["dedup_key"] == "model_accuracy:2"
+    assert alerts.accuracy_rule(slices).first()["dedup_key"] == "model_accuracy_degraded:2"
     assert alerts.accuracy_rule(slices, all_degraded=True).count() == 2
-    assert alerts.mix_rule(slices, {"DOWN": 0.3, "STABLE": 0.4, "UP": 0.3}).first()["dedup_key"] == "prediction_distribution:1"
+    assert alerts.mix_rule(slices, {"DOWN": 0.3, "STABLE": 0.4, "UP": 0.3}).first()["dedup_key"] == "prediction_distribution_shift:1"
     assert alerts.mix_rule(slices, None).count() == 0
     assert all(r.runbook for r in alerts.rules(spark).collect())
 

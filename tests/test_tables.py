@@ -96,3 +96,133 @@ def test_backfill_converges(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/features").count() == 180
     with pytest.raises(ValueError):
         stream.backfill(spark, str(tmp_path), 0, 1, version=2)
+
+
+def test_replay_of_a_batch_with_dead_letters(spark, tmp_path):
+    rows = ingest.decode(spark.createDataFrame([(_message(k, f"2024-01-01T00:{k:02d}:00Z"),) for k in range(9)] + [("junk",)], "value string"))
+    for _ in range(2):
+        stream.process(rows, str(tmp_path), batch_id=3)
+    stream.process(rows.where("reason is not null"), str(tmp_path), batch_id=4)
+    assert spark.read.parquet(f"{tmp_path}/dead_letters").count() == 2 and spark.read.parquet(f"{tmp_path}/ticks").count() == 9
+
+
+def test_late_ticks_and_months(spark, tmp_path):
+    """A tick of an earlier month that comes late is stored and gets its features; what is stored already stays."""
+    decoded = lambda times: ingest.decode(spark.createDataFrame([(_message(int(t[8:10]) * 10_000 + int(t[14:16]) * 100 + int(t[17:19]), t),) for t in times], "value string"))
+    first = [f"2024-02-01T00:{k:02d}:00Z" for k in range(8)]
+    stream.process(decoded(first), str(tmp_path), batch_id=0)
+    stream.process(decoded(["2024-01-31T23:59:00Z", "2024-02-01T00:03:30Z", first[0]]), str(tmp_path), batch_id=1)
+    ticks, features = spark.read.parquet(f"{tmp_path}/ticks"), spark.read.parquet(f"{tmp_path}/features")
+    assert ticks.count() == features.count() == 10 and {r.month for r in ticks.select("month").distinct().collect()} == {"2024-01", "2024-02"}
+    late = features.join(ticks.where("message_id in ('315900', '10330')"), ["symbol", "t"], "left_semi").select("symbol", "t", "volume_change")
+    want = compute_features(ticks).select("symbol", "t", "volume_change")
+    assert late.count() == 2 and late.exceptAll(want).count() == 0
+
+
+def test_expiry(spark, tmp_path):
+    """GOOD was emitted at 2024-01-01T00:00:00Z."""
+    spark.createDataFrame([(_message(k, f"2024-01-01T00:{k:02d}:00Z"),) for k in range(3)], "value string").write.text(f"{tmp_path}/in")
+    source = lambda: spark.readStream.schema("value string").text(f"{tmp_path}/in")
+    at = 1_704_067_200_000_000
+    stream.ingest(source(), f"{tmp_path}/kept", expire_us=60 * MINUTE_US, clock=lambda: at + 59 * MINUTE_US).awaitTermination()
+    stream.ingest(source(), f"{tmp_path}/gone", expire_us=60 * MINUTE_US, clock=lambda: at + 61 * MINUTE_US).awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/kept/ticks").count() == 3 and spark.read.parquet(f"{tmp_path}/kept/dead_letters").count() == 0
+    assert {r.reason for r in spark.read.parquet(f"{tmp_path}/gone/dead_letters").collect()} == {"dead.expired"} or spark.read.parquet(f"{tmp_path}/gone/dead_letters").count() == 3
+
+
+def test_only_the_rows_months_are_read(spark, tmp_path):
+    rows = sinks.with_month(spark.createDataFrame([("X", k * 20 * DAY_US, str(k)) for k in range(6)], "symbol string, t long, message_id string"))
+    sinks.insert_if_absent(rows, f"{tmp_path}/t", sinks.TICK_KEYS, partition="month")
+    table = sinks.in_partitions(sinks.stored(spark, f"{tmp_path}/t", rows), "month", sinks.partitions_of(rows.where("t = 0"), "month"))
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and "1970-01" in plan
+    sinks.insert_if_absent(rows, f"{tmp_path}/t", sinks.TICK_KEYS, partition="month")
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 6
+
+
+def test_stream_rates_and_duplicates(spark, tmp_path):
+    messages = [_message(k, f"2024-01-01T0{k // 30}:{k % 30:02d}:00Z") for k in range(60)]
+    spark.createDataFrame([(m,) for m in [*messages, *messages[:7], "junk"]], "value string").coalesce(1).write.text(f"{tmp_path}/in")
+    decoded = ingest.decode(spark.readStream.schema("value string").text(f"{tmp_path}/in"))
+
+    def ran(frame, name, mode):
+        frame.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).option("checkpointLocation", f"{tmp_path}/{name}").start().awaitTermination()
+        return spark.table(name)
+
+    assert ran(stream.deduplicated_stream(decoded), "once", "append").count() == 60
+    assert sorted(r.n for r in ran(stream.rate_stream(decoded), "rates", "complete").collect()) == [30, 37]
+
+
+def test_outcomes_are_stored_once(spark, tmp_path):
+    from tickflow.operators import attribution
+
+    h = 15 * MINUTE_US
+    ticks = spark.createDataFrame([("X", k * MINUTE_US, 1.0 + k) for k in range(60)], "symbol string, t long, price double")
+    predictions = spark.createDataFrame([("X", k * MINUTE_US, "1", "UP", k * MINUTE_US) for k in (1, 2, 50)], "symbol string, t long, model_version string, predicted string, predicted_t long")
+    run = lambda now, **more: attribution.attribution_run(predictions, f"{tmp_path}/o", ticks.where(F.col("t") <= now), now_us=now, horizon_us=h, tolerance_us=MINUTE_US, start_us=0, **more)
+    runs = spark.createDataFrame([(0.5, 2), (9.0, 1)], "theta double, finished long")
+    with pytest.raises(attribution.NoTheta):
+        run(20 * MINUTE_US)
+    with pytest.raises(attribution.NoTheta):
+        run(20 * MINUTE_US, runs=runs.where("false"))
+    assert run(20 * MINUTE_US, runs=runs).first()["n"] == 2
+    assert run(20 * MINUTE_US, theta=0.5).first()["n"] == 2 and spark.read.parquet(f"{tmp_path}/o").count() == 2
+    run(70 * MINUTE_US, theta=0.5)  # the tick a horizon after the last prediction never came: it is not stored
+    assert spark.read.parquet(f"{tmp_path}/o").count() == 2
+
+
+def test_stages_and_drift_without_production(spark, tmp_path):
+    from tickflow.operators import drift, model
+
+    root = str(tmp_path)
+    live = spark.createDataFrame([(5, 1.0, False)], "t long, ma_5m double, insufficient_history boolean").withColumns({n: F.lit(1.0) for n in model.FEATURE_NAMES if n != "ma_5m"})
+    assert model.production_version(spark, root) is None and drift.drift_run(live, model.production_stats(spark, root), 10, 10).count() == 0
+    model.transition(spark, root, "1", "Staging", 1)
+    assert model.production_version(spark, root) is None
+    model.transition(spark, root, "1", "Production", 2)
+    assert model.production_stats(spark, root) is None
+    model.transition(spark, root, "2", "Production", 3)
+    assert model.production_version(spark, root) == "2"
+    stages = {r.model_version: r.stage for r in sinks.latest_stage(spark.read.parquet(f"{root}/stages")).collect()}
+    assert stages == {"1": "Archived", "2": "Production"}
+    model.save_stats(spark.createDataFrame([("ma_5m", 1.0, 0.0, 1.0, 1.0, 1.0), ("roc_1m", 2.0, 1.0, -9.0, 9.0, 2.0)], "feature string, mean double, std double, min double, max double, p50 double"), root, "2")
+    rows = drift.drift_run(live, model.production_stats(spark, root), 10, 10).collect()
+    assert {(r.feature, r.metric, r.model_version) for r in rows} == {(f, m, "2") for f in ("ma_5m", "roc_1m") for m in ("psi", "ks")}
+    samples = drift.reference_samples(model.production_stats(spark, root)[1], 2000)
+    told = {r.feature: (r.m, r.s) for r in samples.groupBy("feature").agg(F.avg("value").alias("m"), F.stddev("value").alias("s")).collect()}
+    assert told["ma_5m"] == (1.0, 0.0) and abs(told["roc_1m"][0] - 2) < 0.1 and abs(told["roc_1m"][1] - 1) < 0.1
+
+
+def test_listings(spark):
+    from tickflow.operators import alerts, panels, scans
+
+    rows = spark.createDataFrame([("a", 1, "x"), ("b", 2, "x"), ("c", 2, "y")], "k string, t long, v string")
+    assert [r.k for r in scans.listing(rows, 1, "t", newest_first=["t"], then=["k"]).collect()] == ["b", "c", "a"]
+    assert [r.k for r in scans.listing(rows, 2, "t", newest_first=["t"], equal={"v": "y", "k": None}).collect()] == ["c"]
+    assert scans.lookup(rows, k="b").first()["t"] == 2 and scans.lookup(rows, k="q").count() == 0
+    for bad in ({}, {"k": None}):
+        with pytest.raises(ValueError):
+            scans.lookup(rows, **bad)
+    with pytest.raises(ValueError):
+        scans.recent_page(rows, ["t"], now_us=5, days=31)
+    assert [r.k for r in scans.recent_page(rows, ["t", "k"], now_us=2, limit=1, equal={"v": "x"}).collect()] == ["b"]
+    opened = spark.createDataFrame([("a", "firing", 1), ("a", "pending", 3), ("b", "resolved", 9), ("c", "firing", 2)], "dedup_key string, status string, updated long")
+    assert [r.updated for r in alerts.open_alerts(opened).collect()] == [3, 2, 1]
+    assert [r.updated for r in alerts.open_alerts(opened, "a").collect()] == [3] and alerts.open_alerts(opened, "b").count() == 0
+    drift = spark.createDataFrame([("f", "stable", 1), ("g", "moderate", 1)], "feature string, severity string, window_end long")
+    assert panels.drift_summary(drift).first() == ("moderate", 1, 1) and panels.drift_summary(drift.where("false")).first()["status"] == "never_ran"
+    audit = spark.createDataFrame([(True,)], "passed boolean")
+    assert panels.quality_summary(audit).first()["all_passed"] and not panels.quality_summary(audit.where("false")).first()["all_passed"]
+
+
+def test_quantiles(spark):
+    import numpy as np
+
+    from tickflow.operators.quantiles import quantiles
+
+    rng = np.random.default_rng(1)
+    data = {"few": [3.0, 1.0], "one": [7.0], "ties": rng.integers(0, 4, 500).astype(float).tolist(), "many": rng.normal(size=3000).tolist()}
+    rows = spark.createDataFrame([(f, v) for f, x in data.items() for v in x] + [("few", None), ("none", None)], "feature string, value double")
+    at = [0.0, 0.1, 0.4, 0.5, 0.99, 1.0]
+    got = {r.feature: list(r.q) for r in quantiles(rows, at).collect()}
+    assert got.keys() == data.keys() and all(np.allclose(got[f], np.quantile(x, at)) for f, x in data.items())

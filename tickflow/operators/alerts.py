@@ -18,11 +18,12 @@ class Rule:
     runbook: str
 
 
+#: Names and severities are fixed values; the runbooks are topics, which whoever runs the engine describes.
 RULES = (
-    Rule("feature_drift", "warning", "docs/runbooks/feature_drift.md"),
-    Rule("model_accuracy", "critical", "docs/runbooks/model_accuracy.md"),
-    Rule("prediction_distribution", "warning", "docs/runbooks/prediction_distribution.md"),
-    Rule("data_quality", "critical", "docs/runbooks/data_quality.md"),
+    Rule("feature_drift", "warning", "model rollback"),
+    Rule("model_accuracy_degraded", "critical", "model rollback"),
+    Rule("prediction_distribution_shift", "warning", "consumer lag"),
+    Rule("data_quality_failed", "warning", "dead letters"),
 )
 
 
@@ -30,14 +31,12 @@ def rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(r.name, r.severity, r.runbook) for r in RULES], "alert_name string, severity string, runbook string")
 
 
-def decisions(evaluations: DataFrame, sustained: int, suppression_us: int, *, advance_on_refire: bool = False) -> DataFrame:
+def decisions(evaluations: DataFrame, sustained: int, suppression_us: int) -> DataFrame:
     """(dedup_key, t, breached, action, consecutive, first_fire) of (dedup_key, t, breached).
 
     A breach counts in its run of breaches; below `sustained` it accumulates, at `sustained` it fires, after that it is suppressed until
     the suppression has passed since the alert fired, and then fires again (the boundary fires). What ends a run resolves it; else none.
-    By default the time of the first fire stays, so each later evaluation of a long run fires; with advance_on_refire each fire starts the
-    suppression anew, which is computed over the fires' distances in the run, of a fixed number of evaluations each only if they are
-    evenly spaced: it is given for evenly spaced evaluations."""
+    The time of the first fire stays, so once the suppression has passed each later evaluation of a long run fires."""
     w = Window.partitionBy("dedup_key").orderBy("t")
     rows = evaluations.withColumn("_clear", F.sum(F.when(F.col("breached"), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_before", F.lag("breached").over(w))
     run = Window.partitionBy("dedup_key", "_clear").orderBy("t")
@@ -45,10 +44,6 @@ def decisions(evaluations: DataFrame, sustained: int, suppression_us: int, *, ad
     rows = rows.withColumn("first_fire", F.max(F.when(F.col("breached") & (F.col("consecutive") == sustained), F.col("t"))).over(run))
     age = F.col("t") - F.col("first_fire")
     again = age >= suppression_us
-    if advance_on_refire:
-        step = F.max(F.when(F.col("consecutive") == sustained + 1, age)).over(Window.partitionBy("dedup_key", "_clear"))
-        every = F.ceil(F.lit(suppression_us) / step)
-        again = ((F.col("consecutive") - sustained) % F.greatest(every, F.lit(1))) == 0
     action = F.when(~F.col("breached") & F.coalesce("_before", F.lit(False)), "resolve").when(~F.col("breached"), "none").when(F.col("consecutive") < sustained, "accumulate").when(F.col("consecutive") == sustained, "fire").when(again, "fire").otherwise("suppress")
     return rows.select("dedup_key", "t", "breached", action.alias("action"), "consecutive", F.when(F.col("breached"), F.col("first_fire")).alias("first_fire"))
 
@@ -61,6 +56,14 @@ def open_state(decided: DataFrame) -> DataFrame:
     return last.join(first, "dedup_key").select("dedup_key", F.when(F.col("first_fire").isNotNull(), "firing").otherwise("pending").alias("status"), F.col("consecutive").alias("consecutive_breaches"), "first_breached", F.col("first_fire").alias("fired"), F.col("t").alias("updated"))
 
 
+def open_alerts(alerts: DataFrame, dedup_key: str | None = None) -> DataFrame:
+    """Alerts that are not resolved, the newest first; with a key, the newest one of it at most."""
+    rows = alerts.where("status <> 'resolved'")
+    if dedup_key is None:
+        return rows.orderBy(F.desc("updated"), "dedup_key")
+    return rows.where(F.col("dedup_key") == dedup_key).orderBy(F.desc("updated")).limit(1)
+
+
 def drift_rule(breaches: DataFrame) -> DataFrame:
     """Breaches (alert_name, dedup_key, details) of correlated_breach() rows."""
     return breaches.select(F.lit("feature_drift").alias("alert_name"), F.lit("feature_drift").alias("dedup_key"), F.col("features").alias("details"))
@@ -71,14 +74,14 @@ def accuracy_rule(slices: DataFrame, *, least: float = 0.34, resolved: int = 50,
     bad = slices.where((F.col("n") >= resolved) & (F.col("accuracy") < least))
     if not all_degraded:
         bad = bad.groupBy().agg(F.min_by(F.struct("model_version", "accuracy"), F.struct("accuracy", "model_version")).alias("x")).where("x is not null").select("x.*")
-    return bad.select(F.lit("model_accuracy").alias("alert_name"), F.concat(F.lit("model_accuracy:"), F.col("model_version").cast("string")).alias("dedup_key"), F.format_number("accuracy", 4).alias("details"))
+    return bad.select(F.lit("model_accuracy_degraded").alias("alert_name"), F.concat(F.lit("model_accuracy_degraded:"), F.col("model_version").cast("string")).alias("dedup_key"), F.format_number("accuracy", 4).alias("details"))
 
 
 def mix_rule(slices: DataFrame, prior: dict[str, float] | None, *, most: float = 0.30) -> DataFrame:
     """The version whose predicted mix lies furthest from the training prior, if by over `most`; without a prior there is no evidence."""
     rows = distribution_shift(slices, prior or {}).where(F.lit(prior is not None and bool(prior)) & (F.col("shift") > most))
     worst = rows.groupBy().agg(F.max_by(F.struct("model_version", "shift"), F.struct("shift", "model_version")).alias("x")).where("x is not null").select("x.*")
-    return worst.select(F.lit("prediction_distribution").alias("alert_name"), F.concat(F.lit("prediction_distribution:"), F.col("model_version").cast("string")).alias("dedup_key"), F.format_number("shift", 4).alias("details"))
+    return worst.select(F.lit("prediction_distribution_shift").alias("alert_name"), F.concat(F.lit("prediction_distribution_shift:"), F.col("model_version").cast("string")).alias("dedup_key"), F.format_number("shift", 4).alias("details"))
 
 
 def record(open_alerts: DataFrame, breaches: DataFrame, evaluated: DataFrame, now_us: int, *, sustained: int, suppression_us: int) -> DataFrame:

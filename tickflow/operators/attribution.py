@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from tickflow.functions.scalars import forward_return, label_of
 from tickflow.operators.asof import forward_join
 from tickflow.operators.metrics import performance_slices
+from tickflow.sources.sinks import PREDICTION_KEYS, exists, insert_if_absent
 
-KEY = ("symbol", "t", "model_version")
+KEY = PREDICTION_KEYS[0]
+
+
+class NoTheta(ValueError):
+    """No theta was given, and no training run has one."""
 
 
 def unresolved(predictions: DataFrame, outcomes: DataFrame, now_us: int, horizon_us: int, *, limit: int | None = None) -> DataFrame:
@@ -39,3 +44,35 @@ def resolve(predictions: DataFrame, outcomes: DataFrame, ticks: DataFrame, *, no
 def slices(resolved: DataFrame, start_us: int, end_us: int, time: str = "predicted_t") -> DataFrame:
     """Metrics per model version of what was predicted in [start, end)."""
     return performance_slices(resolved.where((F.col("status") == "resolved") & (F.col(time) >= start_us) & (F.col(time) < end_us)))
+
+
+def store_predictions(rows: DataFrame, path: str) -> None:
+    """Append the predictions whose (symbol, t, model_version) is new; the first one written stays."""
+    insert_if_absent(rows, path, PREDICTION_KEYS)
+
+
+def store_outcomes(resolved: DataFrame, path: str) -> None:
+    """Append what became of predictions, once each. What has no price yet is not stored, so a later run looks at it again."""
+    insert_if_absent(resolved.where("status = 'resolved'"), path, PREDICTION_KEYS)
+
+
+def newest_theta(runs: DataFrame) -> float:
+    """theta of the training run that finished last; raises if there is none."""
+    row = runs.where("theta is not null").agg(F.max_by("theta", "finished").alias("theta")).first()
+    if row["theta"] is None:
+        raise NoTheta("no training run to take theta from")
+    return float(row["theta"])
+
+
+def attribution_run(predictions: DataFrame, path: str, ticks: DataFrame, *, now_us: int, horizon_us: int, tolerance_us: int, start_us: int, theta: float | None = None, runs: DataFrame | None = None, time: str = "predicted_t") -> DataFrame:
+    """Resolve what the outcomes stored at path lack, store it, and return the slices per model version of what was predicted in
+    [start_us, now_us). theta: given, or that of the newest training run."""
+    if theta is None:
+        if runs is None:
+            raise NoTheta("no theta and no training runs")
+        theta = newest_theta(runs)
+    spark = predictions.sparkSession
+    none = predictions.select(*KEY).where("false")
+    outcomes = spark.read.parquet(path).select(*KEY) if exists(spark, path) else none
+    store_outcomes(resolve(predictions, outcomes, ticks, now_us=now_us, horizon_us=horizon_us, tolerance_us=tolerance_us, theta=theta), path)
+    return slices(spark.read.parquet(path), start_us, now_us, time)

@@ -12,6 +12,7 @@ from tickflow.functions.registry import FEATURE_NAMES, finite, unpivoted
 from tickflow.functions.scalars import DAY_US, LABELS, MINUTE_US, forward_return, label_of
 from tickflow.operators.asof import forward_self
 from tickflow.operators.halo import running
+from tickflow.operators.quantiles import quantiles
 
 
 @dataclass(frozen=True)
@@ -35,10 +36,10 @@ def derive_theta(rows: DataFrame, quantile: float = 0.4) -> float:
     """The exact quantile, linearly interpolated, of the absolute returns of all symbols."""
     if not 0 < quantile < 1:
         raise ValueError("the quantile lies between 0 and 1")
-    theta = rows.where("ret is not null").agg(F.percentile(F.abs("ret"), F.lit(quantile))).first()[0]
-    if theta is None:
+    row = quantiles(rows.select(F.lit("ret").alias("feature"), F.abs("ret").alias("value")), [quantile]).first()
+    if row is None:
         raise InsufficientData("no returns to derive theta from")
-    return float(theta)
+    return float(row["q"][0])
 
 
 def usable(rows: DataFrame) -> DataFrame:
@@ -101,5 +102,6 @@ def class_weights(rows: DataFrame) -> DataFrame:
 def feature_stats(rows: DataFrame, names: Sequence[str] = FEATURE_NAMES) -> DataFrame:
     """(feature, mean, std, min, max, p50) of each feature, the population's std; a feature without values has no row."""
     long = unpivoted(rows.select(*names), (), names).where(finite(F.col("value")))
-    return long.groupBy("feature").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"), F.percentile("value", F.lit(0.5)).alias("p50"))
+    out = long.groupBy("feature").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
+    return out.join(quantiles(long, [0.5]).select("feature", F.get("q", F.lit(0)).alias("p50")), "feature")
 

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickflow.functions.registry import finite
+from tickflow.functions.registry import FEATURE_NAMES, finite, unpivoted
 from tickflow.functions.scalars import psi_severity, severity_rank
 from tickflow.operators.halo import running
+from tickflow.operators.quantiles import quantiles, ranged
 
 FLOOR = 1e-6
 
@@ -25,8 +26,7 @@ def psi(reference: DataFrame, live: DataFrame, bins: int = 10) -> DataFrame:
     Bins are cut at the distinct quantiles of the reference, the outer ones open; shares are at least FLOOR. A side without values, or a
     reference of one value, gives 0 and is not evaluable."""
     ref = clean(reference)
-    cuts = F.array_distinct(F.percentile("value", F.array(*[F.lit(i / bins) for i in range(bins + 1)])))
-    edges = ref.groupBy("feature").agg(cuts.alias("edges"))
+    edges = quantiles(ref, [i / bins for i in range(bins + 1)]).select("feature", F.array_distinct("q").alias("edges"))
     inner = F.when(F.size("edges") > 2, F.slice("edges", F.lit(2), F.size("edges") - 2)).otherwise(F.array().cast("array<double>"))
     edges = edges.select("feature", F.size("edges").alias("k"), inner.alias("inner_edges"))
     both = ref.select("feature", "value", F.lit(1).alias("r"), F.lit(0).alias("o")).unionByName(clean(live).select("feature", "value", F.lit(0).alias("r"), F.lit(1).alias("o")))
@@ -54,9 +54,7 @@ def ks(reference: DataFrame, live: DataFrame, parts: int = 64) -> DataFrame:
     empty. Equal values are counted together; running counts go over `parts` ranges of each feature's values, so a feature may be of any size."""
     rows = clean(reference).select("feature", "value", F.lit(1).alias("r"), F.lit(0).alias("o")).unionByName(clean(live).select("feature", "value", F.lit(0).alias("r"), F.lit(1).alias("o")))
     counts = rows.groupBy("feature", (F.col("value") + 0.0).alias("value")).agg(F.sum("r").alias("r"), F.sum("o").alias("o"))
-    ranges = counts.groupBy("feature").agg(F.percentile_approx("value", [i / parts for i in range(1, parts)]).alias("cuts"))
-    placed = counts.join(F.broadcast(ranges), "feature").withColumn("_b", F.size(F.filter("cuts", lambda c: c <= F.col("value")))).drop("cuts")
-    summed = running(placed, ["feature"], "_b", ["value"], {"sr": "r", "so": "o"})
+    summed = running(ranged(counts, "feature", parts), ["feature"], "_b", ["value"], {"sr": "r", "so": "o"})
     totals = counts.groupBy("feature").agg(F.sum("r").alias("n_ref"), F.sum("o").alias("n_live"))
     gap = F.abs(F.col("sr") / F.nullif(F.col("n_ref"), F.lit(0)) - F.col("so") / F.nullif(F.col("n_live"), F.lit(0)))
     out = summed.join(F.broadcast(totals), "feature").groupBy("feature").agg(F.coalesce(F.max(gap), F.lit(0.0)).alias("ks"), F.max("n_ref").alias("n_ref"), F.max("n_live").alias("n_live"))
@@ -112,11 +110,32 @@ def correlated_breach(rows: DataFrame, least: int = 3, keys: Sequence[str] = ("w
 def reference_samples(stats: DataFrame, n: int = 1000, seed: int = 42) -> DataFrame:
     """(feature, value): n normal draws per feature of stats, within its least and greatest value; constant where the std is not positive."""
     rows = stats.withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(n))))
-    u = lambda s: (F.pmod(F.xxhash64("feature", "_k", F.lit(s)), F.lit(1 << 53)) + 1) / F.lit(float((1 << 53) + 1))
+    digits = lambda s: F.substring(F.md5(F.concat_ws("|", "feature", "_k", F.lit(s)).cast("binary")), 1, 13)
+    u = lambda s: (F.conv(digits(s), 16, 10).cast("long") + 1) / F.lit(float((1 << 52) + 1))  # noqa: E731  thirteen hexadecimal digits are 52 bits
     draw = F.sqrt(-2 * F.ln(u(seed))) * F.cos(2 * F.pi() * u(seed + 1))
     return rows.select("feature", F.when(F.col("std") > 0, F.least(F.greatest(F.col("mean") + F.col("std") * draw, F.col("min")), F.col("max"))).otherwise(F.col("mean")).alias("value"))
 
 
+def numeric_stats(stats: DataFrame, column: str = "stats", schema: Sequence[str] = ("mean", "std", "min", "max", "p50")) -> DataFrame:
+    """(feature, mean, std, min, max, p50) of rows (feature, JSON text of a map): entries that are not numbers are null, and features
+    without a mean, or whose text is no map, have no row."""
+    entries = F.from_json(column, "map<string,string>")
+    number = lambda c: F.try_element_at(entries, F.lit(c)).try_cast("double")
+    return stats.select("feature", *[F.when(finite(number(c)), number(c)).alias(c) for c in schema]).where("mean is not null")
+
+
+def drift_run(live: DataFrame, reference: tuple[str, DataFrame] | None, now_us: int, window_us: int, *, draws: int = 1000, seed: int = 42) -> DataFrame:
+    """The metric rows of feature rows in [now - window, now), all symbols together and rows without enough history left out, against
+    `draws` samples from the statistics that the Production model was stored with. reference: (model version, statistics) as
+    model.production_stats() gives it; None gives no rows."""
+    start = now_us - window_us
+    version, stats = reference or ("", live.sparkSession.createDataFrame([], "feature string, mean double, std double, min double, max double, p50 double"))
+    ref = reference_samples(stats.where("mean is not null"), draws, seed)
+    rows = live.where((F.col("t") >= start) & (F.col("t") < now_us) & ~F.col("insufficient_history"))
+    rows = unpivoted(rows, (), FEATURE_NAMES).join(F.broadcast(stats.select("feature")), "feature", "left_semi")  # one row per feature
+    return metric_rows(psi(ref, rows), ks(ref, rows), start, now_us, now_us, version)
+
+
 def newest_per_window(rows: DataFrame) -> DataFrame:
     """The newest of the rows that are written for one feature, metric, window and model."""
     keys = ["feature", "metric", "window_start", "window_end", "model_version"]

@@ -66,3 +66,23 @@ def symbols_summary(ticks: DataFrame, now_us: int, limit_seconds: float) -> Data
 def quality_summary(audit: DataFrame) -> DataFrame:
     """One row (checks, all_passed); passing needs at least one row."""
     return audit.agg(F.count(F.lit(1)).alias("checks"), (F.coalesce(F.bool_and("passed"), F.lit(False)) & (F.count(F.lit(1)) > 0)).alias("all_passed"))
+
+
+def drift_summary(drift: DataFrame) -> DataFrame:
+    """One row (status, features, window_end): the worst severity of the newest window and how many features are not stable in it;
+    never_ran without rows."""
+    from tickflow.operators.drift import worst_severity
+    from tickflow.operators.scans import newest_window
+
+    rows = newest_window(drift)
+    told = rows.agg(F.count_distinct(F.when(F.col("severity") != "stable", F.col("feature"))).alias("features"), F.max("window_end").alias("window_end"))
+    status = F.when(F.col("window_end").isNull(), "never_ran").otherwise(F.col("severity"))
+    return told.join(F.broadcast(worst_severity(rows))).select(status.alias("status"), "features", "window_end")  # one row each
+
+
+def model_performance(slices: DataFrame, versions: DataFrame, pending: DataFrame, baseline: DataFrame) -> DataFrame:
+    """A row per model version of the slices, with when it was promoted (null: never), how many predictions wait for their horizon, and the
+    baseline's accuracy on every row. pending: one row (pending); baseline: one row (baseline_accuracy) or none."""
+    rows = slices.join(versions.select("model_version", "promoted_at"), "model_version", "left")
+    both = pending.join(baseline.agg(F.max("baseline_accuracy").alias("baseline_accuracy")))  # one row each
+    return rows.join(F.broadcast(both))

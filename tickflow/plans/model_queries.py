@@ -29,7 +29,7 @@ def forward_price(spark, sf_dir):
 
 
 def theta(spark, sf_dir):
-    return rounded(_labelled(spark, sf_dir).agg(F.percentile(F.abs("ret"), F.lit(0.4)).alias("theta")))
+    return rounded(spark.createDataFrame([(dataset.derive_theta(_labelled(spark, sf_dir), 0.4),)], "theta double"))
 
 
 def labels(spark, sf_dir):

@@ -10,6 +10,7 @@ from tickflow.operators import alerts, attribution, drift, panels, quality, scan
 from tickflow.plans import model_queries as M
 from tickflow.plans.base import FEATURES_SQL, MIDDLE_US, NOW_US, START_US, TICKS_SQL, features, rounded
 from tickflow.sources.ingest import ticks
+from tickflow.sources.shared import materialize
 
 INTERVAL_US = 30 * MINUTE_US
 WEEK = 5 * DAY_US
@@ -55,8 +56,9 @@ def quality_latest_status(spark, sf_dir):
 
 
 def _values(spark, sf_dir):
+    """The features in long form, computed once for all that reads them."""
     f = features(spark, sf_dir).where(~F.col("insufficient_history"))
-    return unpivoted(f, ["t"], ("price", "volume", *FEATURE_NAMES))
+    return unpivoted(materialize(f), ["t"], ("price", "volume", *FEATURE_NAMES))
 
 
 def _halves(spark, sf_dir):
@@ -265,8 +267,8 @@ SQL = {
     "alert_decisions": f"WITH RECURSIVE {TICKS_SQL}, {EVAL_SQL} SELECT dedup_key, t, breached, action, k::BIGINT AS consecutive FROM st",
     "alert_open_state": f"{_STATE} SELECT dedup_key, status, consecutive_breaches, first_breached, fired, updated FROM opened WHERE breached",
     "rule_drift": f"{_RUNS}, {_BREACH} SELECT 'feature_drift' AS alert_name, 'feature_drift' AS dedup_key, features AS details FROM breach WHERE window_end = {WINDOWS[-1]}",
-    "rule_accuracy": f"WITH {M.PRED_SQL}, s AS (SELECT model_version, count(*) AS n, avg((actual = predicted)::INT::DOUBLE) AS a FROM done GROUP BY model_version) SELECT 'model_accuracy' AS alert_name, 'model_accuracy:' || model_version AS dedup_key, format('{{:.4f}}', a) AS details FROM s WHERE n >= 50 AND a < 0.9 ORDER BY a, model_version LIMIT 1",
-    "rule_prediction_mix": f"WITH {M.PRED_SQL}, s AS (SELECT model_version, 0.5 * (abs(avg((predicted = 'DOWN')::INT) - 0.8) + abs(avg((predicted = 'STABLE')::INT) - 0.1) + abs(avg((predicted = 'UP')::INT) - 0.1)) AS d FROM done GROUP BY model_version) SELECT 'prediction_distribution' AS alert_name, 'prediction_distribution:' || model_version AS dedup_key, format('{{:.4f}}', d) AS details FROM s WHERE d > 0.30 ORDER BY d DESC, model_version DESC LIMIT 1",
+    "rule_accuracy": f"WITH {M.PRED_SQL}, s AS (SELECT model_version, count(*) AS n, avg((actual = predicted)::INT::DOUBLE) AS a FROM done GROUP BY model_version) SELECT 'model_accuracy_degraded' AS alert_name, 'model_accuracy_degraded:' || model_version AS dedup_key, format('{{:.4f}}', a) AS details FROM s WHERE n >= 50 AND a < 0.9 ORDER BY a, model_version LIMIT 1",
+    "rule_prediction_mix": f"WITH {M.PRED_SQL}, s AS (SELECT model_version, 0.5 * (abs(avg((predicted = 'DOWN')::INT) - 0.8) + abs(avg((predicted = 'STABLE')::INT) - 0.1) + abs(avg((predicted = 'UP')::INT) - 0.1)) AS d FROM done GROUP BY model_version) SELECT 'prediction_distribution_shift' AS alert_name, 'prediction_distribution_shift:' || model_version AS dedup_key, format('{{:.4f}}', d) AS details FROM s WHERE d > 0.30 ORDER BY d DESC, model_version DESC LIMIT 1",
     "panel_system_health": f"WITH {TICKS_SQL}, a AS (SELECT symbol, max(t) AS last_tick FROM ticks WHERE t < {NOW_US} GROUP BY symbol), b AS (SELECT symbol, max(t) AS last_feature FROM ticks WHERE t < {NOW_US} AND symbol <> 'view' GROUP BY symbol) SELECT symbol, last_tick, last_feature, round(({NOW_US} - last_tick) / 1e6, 6) + 0.0 AS tick_age, round(({NOW_US} - last_feature) / 1e6, 6) + 0.0 AS feature_age, coalesce(({NOW_US} - last_feature) / 1e6 > 1200, true) AS stale FROM a FULL JOIN b USING (symbol)",
     "panel_ingestion_rate": f"WITH {TICKS_SQL} SELECT symbol, t - t % {HOUR_US} AS bucket, count(*) AS n FROM ticks GROUP BY ALL",
     "panel_completeness": f"WITH {TICKS_SQL} SELECT symbol, count(*) AS n, round(least(count(*) / 48.0, 1.0), 6) + 0.0 AS completeness FROM ticks WHERE t >= {NOW_US - DAY_US} AND t < {NOW_US} GROUP BY symbol",

@@ -32,11 +32,23 @@ def new_rows(rows: DataFrame, table: DataFrame, keys: Sequence[Sequence[str]]) -
     return rows
 
 
+def partitions_of(rows: DataFrame, partition: str) -> list:
+    """The partitions that rows fall in: a handful of months."""
+    return [r[0] for r in rows.select(partition).distinct().collect()]
+
+
+def in_partitions(table: DataFrame, partition: str, values: Sequence) -> DataFrame:
+    return table.where(F.col(partition).isin(list(values))) if len(values) else table.where("false")
+
+
 def insert_if_absent(rows: DataFrame, path: str, keys: Sequence[Sequence[str]], *, partition: str | None = None) -> None:
     """Append the rows that the table has none of the keys of. A rerun adds nothing; a job that died between two sinks is made good by
-    running it again, as each sink compares with what it has itself."""
+    running it again, as each sink compares with what it has itself. A partition column has to follow from each key: only the partitions
+    that the rows fall in are read, so the cost does not grow with the table's age."""
     spark = rows.sparkSession
     table = stored(spark, path, rows)
+    if partition:
+        table = in_partitions(table, partition, partitions_of(rows, partition))
     fresh = new_rows(rows, table, keys)
     writer = fresh.write.mode("append")
     (writer.partitionBy(partition) if partition else writer).parquet(path)

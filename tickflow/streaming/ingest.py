@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickflow.functions.scalars import micros
 from tickflow.operators.features import GAP_US, HISTORY_US, compute_features, versioned
 from tickflow.sources.ingest import decode, split_valid
-from tickflow.sources.sinks import FEATURE_KEYS, TICK_KEYS, insert_if_absent, months_between, new_rows, stored, with_month
+from tickflow.sources.sinks import FEATURE_KEYS, TICK_KEYS, in_partitions, insert_if_absent, months_between, new_rows, partitions_of, stored, with_month
 
 
 def _ticks(valid: DataFrame) -> DataFrame:
@@ -27,21 +30,23 @@ def features_of(keys: DataFrame, ticks: DataFrame, *, gap_us: int = GAP_US) -> D
     return compute_features(near, gap_us=gap_us).join(keys.select("symbol", "t"), ["symbol", "t"], "left_semi")
 
 
-def process(batch: DataFrame, root: str, *, gap_us: int = GAP_US, expire_us: int | None = None, now_us: int | None = None) -> None:
-    """One micro-batch of decoded messages: dead letters, ticks and features below root. Each sink compares with what it holds, so a batch
-    that is run again after a failure, between the sinks or elsewhere, ends in the same tables. Late ticks get their own features from
-    what precedes them; features that are already stored stay."""
+def process(batch: DataFrame, root: str, *, batch_id: int = 0, gap_us: int = GAP_US, expire_us: int | None = None, now_us: int | None = None) -> None:
+    """One micro-batch of decoded messages: dead letters, ticks and features below root. Dead letters are written over those of the same
+    batch_id, and the other sinks compare with what they hold, so a batch that is run again after a failure, between the sinks or
+    elsewhere, ends in the same tables. Late ticks get their own features from what precedes them; features that are already stored stay.
+    What was emitted over expire_us before now_us is a dead letter too."""
     spark = batch.sparkSession
     batch = batch.persist()
     before = F.timestamp_micros(F.lit(now_us - expire_us)) if expire_us is not None and now_us is not None else None
     valid, dead = split_valid(batch, expire_before=before)
-    dead.write.mode("append").parquet(f"{root}/dead_letters")
+    dead.write.mode("overwrite").parquet(f"{root}/dead_letters/batch={batch_id}")
     rows = _ticks(valid)
     insert_if_absent(rows, f"{root}/ticks", TICK_KEYS, partition="month")
     ticks = stored(spark, f"{root}/ticks", rows)
+    months = partitions_of(rows, "month")
     # of the batch's ticks, those that are stored (not the duplicates that lost) and have no features yet
-    kept = ticks.join(rows.select("symbol", "t", "message_id").distinct(), ["symbol", "t", "message_id"], "left_semi").select("symbol", "t")
-    table = stored(spark, f"{root}/features", with_month(versioned(compute_features(ticks.where("false")))))
+    kept = in_partitions(ticks, "month", months).join(rows.select("symbol", "t", "message_id").distinct(), ["symbol", "t", "message_id"], "left_semi").select("symbol", "t")
+    table = in_partitions(stored(spark, f"{root}/features", with_month(versioned(compute_features(ticks.where("false"))))), "month", months)
     todo = kept.join(table.select("symbol", "t"), ["symbol", "t"], "left_anti").persist()
     fresh = with_month(versioned(features_of(todo, ticks, gap_us=gap_us)))
     insert_if_absent(fresh, f"{root}/features", FEATURE_KEYS, partition="month")
@@ -49,11 +54,16 @@ def process(batch: DataFrame, root: str, *, gap_us: int = GAP_US, expire_us: int
     batch.unpersist()
 
 
-def ingest(messages: DataFrame, root: str, *, gap_us: int = GAP_US, expire_us: int | None = None, available_now: bool = True) -> StreamingQuery:
-    """A query over a stream with a column `value` of JSON envelopes."""
+def clock_us() -> int:
+    return time.time_ns() // 1000
+
+
+def ingest(messages: DataFrame, root: str, *, gap_us: int = GAP_US, expire_us: int | None = None, available_now: bool = True, clock: Callable[[], int] = clock_us) -> StreamingQuery:
+    """A query over a stream with a column `value` of JSON envelopes. With expire_us, messages that were emitted longer than that before
+    their batch begins, by `clock` in microseconds, are dead letters."""
 
-    def run(batch: DataFrame, _: int) -> None:
-        process(batch, root, gap_us=gap_us, expire_us=expire_us)
+    def run(batch: DataFrame, batch_id: int) -> None:
+        process(batch, root, batch_id=batch_id, gap_us=gap_us, expire_us=expire_us, now_us=clock())
 
     writer = decode(messages).writeStream.foreachBatch(run).option("checkpointLocation", f"{root}/checkpoint")
     return (writer.trigger(availableNow=True) if available_now else writer).start()
@@ -88,7 +98,7 @@ def seed(rows: DataFrame, root: str, *, gap_us: int = GAP_US) -> None:
     """Historical rows (symbol, t, price, volume, message_id): stored if new, with features for those that are."""
     spark = rows.sparkSession
     rows = with_month(rows.select("symbol", "t", "price", "volume", "message_id"))
-    fresh = new_rows(rows, stored(spark, f"{root}/ticks", rows), TICK_KEYS).select("symbol", "t").persist()
+    fresh = new_rows(rows, in_partitions(stored(spark, f"{root}/ticks", rows), "month", partitions_of(rows, "month")), TICK_KEYS).select("symbol", "t").persist()
     fresh.count()
     insert_if_absent(rows, f"{root}/ticks", TICK_KEYS, partition="month")
     table = spark.read.parquet(f"{root}/ticks")
