@@ -26,5 +26,5 @@ def quantiles(long: DataFrame, fractions: Sequence[float], key: str = "feature")
     holds = lambda rank: (F.col("end") - F.col("n") <= rank) & (rank < F.col("end"))
     pick = lambda rank, name: F.max(F.when(holds(rank), F.col("value"))).alias(name)
     ends = rows.groupBy(key).agg(F.max("total").alias("total"), *[pick(F.floor(a), f"lo{i}") for i, a in enumerate(at)], *[pick(F.ceil(a), f"hi{i}") for i, a in enumerate(at)])
-    between = [F.when(F.floor(a) == F.ceil(a), F.col(f"lo{i}")).otherwise((F.ceil(a) - a) * F.col(f"lo{i}") + (a - F.floor(a)) * F.col(f"hi{i}")) for i, a in enumerate(at)]
+    between = [F.when(F.col(f"lo{i}") == F.col(f"hi{i}"), F.col(f"lo{i}")).otherwise((F.ceil(a) - a) * F.col(f"lo{i}") + (a - F.floor(a)) * F.col(f"hi{i}")) for i, a in enumerate(at)]
     return ends.select(key, F.array(*between).alias("q"))
