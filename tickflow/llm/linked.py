@@ -34,7 +34,8 @@ def ends_of(pairs: DataFrame) -> DataFrame:
 
 def linked_groups(rows: DataFrame, near: Column, verified: Callable[[DataFrame], DataFrame], *, common: int | None = None, others: int = 0, block: int = BLOCK, drop: bool = False) -> DataFrame:
     """(node, component) of the rows (id, keys, ...) that are linked to any: two rows are that share a key, for whose other columns (those of
-    the second with b_ before their names) `near` holds, and whose pair (a, b) is among the edges (src, dst) that verified(pairs) returns.
+    the second with b_ before their names) `near` holds, and whose pair (a, b) is among the edges (src, dst), a written table, that
+    verified(pairs) returns.
 
     Each row is compared with the first row of each of its keys, and then only with rows of the key that are in other groups, so that no
     pairs within a group are written; a key of many rows is compared in pairs of blocks, so none lands whole in a task. With `common`, keys
@@ -47,7 +48,7 @@ def linked_groups(rows: DataFrame, near: Column, verified: Callable[[DataFrame],
     if drop:
         drop_table(rows)
     star = materialize(met.join(leads, "key").where("id <> b").where(near).select(F.col("id").alias("a"), "b").distinct())
-    edges = materialize(verified(star))
+    edges = verified(star)
     groups = materialize(connected_components(edges))
 
     drop_table(leads)
@@ -65,5 +66,5 @@ def linked_groups(rows: DataFrame, near: Column, verified: Callable[[DataFrame],
     drop_table(split)
     if cross.isEmpty():
         return groups
-    more = materialize(verified(cross))
+    more = verified(cross)
     return groups if more.isEmpty() else connected_components(edges.unionByName(more))

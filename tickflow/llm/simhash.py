@@ -228,7 +228,7 @@ def similar_texts(df: DataFrame, prints: DataFrame, nodes: DataFrame, similarity
         sets = materialize(shingle_sets(docs.join(ends_of(pairs), "id", "left_semi"), size).dropDuplicates(["id"]))
         both = pairs.join(sets.select(F.col("id").alias("a"), F.col("own").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("own").alias("y")), "b")
         both = both.select("a", "b", F.size("x").alias("m"), F.size("y").alias("n"), F.size(F.array_intersect("x", "y")).alias("both"))
-        return both.where(F.col("both") >= similarity * (F.col("m") + F.col("n") - F.col("both")) - 1e-9).select(F.col("a").alias("src"), F.col("b").alias("dst"))
+        return materialize(both.where(F.col("both") >= similarity * (F.col("m") + F.col("n") - F.col("both")) - 1e-9).select(F.col("a").alias("src"), F.col("b").alias("dst")))
 
     near = F.least("length", "b_length") >= similarity * F.greatest("length", "b_length") - 1e-9
     groups = linked_groups(texts.select("id", "length", "keys"), near, verified)
