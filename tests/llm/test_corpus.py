@@ -79,6 +79,9 @@ def test_urls(spark):
             assert r.rule == best, r
     assert urls.filter_urls(pages.where("false")).count() == 0
     assert urls.filter_urls(pages, []).where("rule is not null").count() == 0
+    holes = spark.createDataFrame([("block", "a.com/x"), (None, "org/"), ("allow", None)], "verdict string, rule string")
+    for size in (urls.MAX_TRIE_BYTES, 0):
+        assert {r.rule for r in urls.filter_urls(pages, holes, max_trie_bytes=size).collect()} == {"a.com/x", None}
 
 
 # 2 -------------------------------------------------------------------------------------------------------------------------------------
@@ -185,6 +188,26 @@ def test_quality_hard(spark, docs, none):
     assert quality.quality_scores(none, labels).count() == 0
 
 
+def test_quality_is_the_plain_discriminant(spark):
+    """Scores against a plain fit by numpy: covariances of all labelled rows, determinants and inverses, without cached factors."""
+    sf = "/root/testdata/sf0.01"
+    stats = {r.doc_id: np.array(r.x) for r in quality.document_statistics(common.read(spark, sf, "documents")).collect()}
+    labels = {r.doc_id: r.quality for r in common.read(spark, sf, "labels").collect() if r.quality is not None}
+    rows = [[stats[d] for d, y in labels.items() if y == k and zlib.crc32(str(d).encode()) % 5] for k in (0, 1)]
+    share = [len(x) / sum(map(len, rows)) for x in rows]
+    own = [np.cov(np.array(x).T, bias=True) for x in rows]
+    pooled = share[0] * own[0] + share[1] * own[1]
+    logs = []
+    for k in (0, 1):
+        c = (1 - quality.TO_POOLED) * own[k] + quality.TO_POOLED * pooled
+        c = (1 - quality.TO_DIAGONAL) * c + quality.TO_DIAGONAL * np.diag(np.diag(c)) + quality.RIDGE * np.diag(np.diag(pooled) + quality.RIDGE)
+        inverse, mean = np.linalg.inv(c), np.mean(rows[k], axis=0)
+        logs.append({d: -0.5 * (x - mean) @ inverse @ (x - mean) - 0.5 * np.linalg.slogdet(c)[1] + np.log(share[k]) / quality.TEMPERATURE for d, x in stats.items()})
+    for r in quality.op3_quality(spark, sf).collect():
+        want = 1 / (1 + np.exp(np.clip(quality.TEMPERATURE * (logs[0][r.doc_id] - logs[1][r.doc_id]), -500, 500)))
+        assert abs(r.score - want) < 1e-6 and r.predicted == (r.score >= 0.3)
+
+
 # 4 -------------------------------------------------------------------------------------------------------------------------------------
 
 
@@ -291,6 +314,68 @@ def test_copied_items(spark):
     assert got == {(1, 1): False, (2, 2): True, (3, 3): True}
 
 
+def plain_template(text):
+    """(kind, word) of the words that have letters or digits, one at a time."""
+    out = []
+    for line in templates._GLUED.sub(" ", text or "").split("\n"):
+        starts = True
+        for w in line.split():
+            kind, bare = templates.classify(w, starts)
+            starts = bool(templates._STOP.search(w))
+            out += [(kind, bare)] if bare else []
+    return out
+
+
+def plain_contaminated(docs, items):
+    """All documents against all items, window by window: {(doc, item): (coverage, matched, exact)}."""
+
+    def windows(tokens, size):
+        for p in range(len(tokens) - size + 1):
+            part = tokens[p : p + size]
+            rich = sum(k == 0 for k, _ in part) >= templates.LITERAL * size
+            yield p, (rich, tuple((k, "" if k else w) if rich else w for k, w in part)), [w for k, w in part if k]
+
+    out = {}
+    for i, item in items.items():
+        tokens = plain_template(item)
+        size = templates.window_of(len(tokens), templates.WINDOW)
+        own = list(windows(tokens, size)) if size else []
+        for d, doc in docs.items():
+            met = [(p - q, q, key[0], slots, theirs) for p, key, theirs in (windows(plain_template(doc), size) if own else ()) for q, k, slots in own if k == key]
+            values = {}
+            for shift, _, _, slots, theirs in met:
+                for x, y in zip(slots, theirs, strict=True):
+                    values.setdefault(shift, {}).setdefault(x, set()).add(y)
+            torn = {s for s, v in values.items() if any(len(y) > 1 for y in v.values())}
+            changed = {s for s, v in values.items() if any(y != {x} for x, y in v.items())}
+            good = [m for m in met if m[3] == m[4] or m[2] and m[0] not in torn]
+            n, rich = len({m[1] for m in good}), len({m[1] for m in good if m[2]})
+            riches = sum(k[0] for _, k, _ in own)
+            coverage = max(n / len(own), rich / riches if riches else 0) if good else 0
+            if coverage >= templates.COVERAGE:
+                out[d, i] = (round(coverage, 9), n, not any(m[0] in changed for m in good))
+    return out
+
+
+def test_templates_against_all_pairs(spark):
+    """Word problems with other numbers, names and units, verbatim items and unrelated texts; repeated values stay repeated."""
+    rng = np.random.default_rng(5)
+    names, units = ["Anna", "Peter", "Maria", "John", "Tom", "Lena", "Omar", "Ruth"], ["apples", "pears", "coins", "books"]
+    forms = ["{a} has {x} {u} and buys {y} more {u} at the market. How many {u} does {a} have now?", "A train leaves {a} at {x} km per hour and reaches {b} after {y} hours of travel. How far is {b} from {a}?", "If {a} shares {x} {u} with {b} and keeps {y} of them for the weekend, how many {u} does {b} get?", "{a} reads {x} pages each day for {y} days, then {b} reads twice as many pages in half the time."]
+    fill = lambda form, u: form.format(a=names[k[0]], b=names[k[1]], x=rng.integers(2, 90), y=rng.integers(2, 90), u=u) if (k := rng.permutation(8)[:2]) is not None else ""
+    items = {i: fill(form, units[i % 4]) for i, form in enumerate(forms)} | {10: "the old mill by the river was closed for good in the winter of that year", 11: "", 12: "two words"}
+    filler = lambda: " ".join(rng.choice(["grey", "stone", "walks", "under", "seven", "lamps", "slowly", "green"], 30))
+    docs, plants = {}, set()
+    for d in range(60):
+        i = int(rng.integers(4))
+        docs[d] = f"{filler()}. {fill(forms[i], units[i % 4]) if d % 3 else filler()} {filler()}"
+        plants |= {(d, i)} if d % 3 else set()
+    docs |= {100: filler() + "\n" + items[10], 101: items[0] + " " + items[0], 102: "", 103: items[1].replace("km", "miles"), 104: "two words"}
+    got = {(r.doc_id, r.item_id): (round(r.coverage, 9), r.matched, r.exact) for r in templates.contaminated(spark.createDataFrame(list(docs.items()), "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()}
+    assert got == plain_contaminated(docs, items)
+    assert len(plants & got.keys()) >= 0.9 * len(plants) and {d for d, _ in got} <= {d for d, _ in plants} | {100, 101, 103, 104}
+
+
 # 7 -------------------------------------------------------------------------------------------------------------------------------------
 
 

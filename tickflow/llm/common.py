@@ -22,8 +22,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below the one that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or _own.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="spark-"))
+    """A new folder below the one that the cluster names in spark.checkpoint.dir. Where that is unset, one of this machine's, which only a
+    local master can share."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = _own.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="spark-"))
     return f"{base}/tickflow-{uuid.uuid4().hex}"
 
 

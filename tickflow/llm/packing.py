@@ -28,6 +28,8 @@ VOCABULARY = "byte_bpe_50k.json"
 _MEMO = 500_000
 #: Documents, and rounds, that one task orders, about.
 BUCKET_ROWS, BUCKET_ROUNDS, MOST_BUCKETS = 5_000, 512, 1 << 17
+#: A table of few documents is dealt to all tasks as long as each gets so many.
+LEAST_ROWS = 100
 
 
 class Memo(dict):
@@ -172,7 +174,8 @@ def pack(df: DataFrame, *, length: int = LENGTH, block: int = BLOCK, weights: Ma
     rows = tokenize(df, path=path, end_id=end_id, id_col=id_col, text_col=text_col, source_col=source_col)
     rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()))
     short = rows.select("row", "n", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("stratum"), F.xxhash64("doc_id").alias("h"))
-    buckets = min(MOST_BUCKETS, rows.count() // BUCKET_ROWS + 1)
+    tasks, total = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.count()
+    buckets = min(MOST_BUCKETS, max(total // BUCKET_ROWS, min(tasks, total // LEAST_ROWS)) + 1)
     short = _running(short.withColumn("bucket", F.pmod("h", F.lit(buckets))), ["stratum"], "bucket", ["h", "row"], "n", "begin")
     places = schedule(rows.groupBy(F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("stratum")).agg(F.sum("n").alias("tokens")), block, weights)
     parts = short.select("row", "n", "stratum", "begin", F.explode(F.sequence(F.floor(F.col("begin") / block), F.floor((F.col("begin") + F.col("n") - 1) / block))).alias("j"))

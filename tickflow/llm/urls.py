@@ -117,11 +117,13 @@ def filter_urls(df: DataFrame, rules: Sequence[tuple[str, str]] | DataFrame = RU
     """One row (page_id, host, path, rule, verdict) per row of df; rule is null where no rule fits, and the verdict then is default.
 
     rules: (verdict, rule) pairs, or a DataFrame with these two columns. Of the rules that fit, the one with most host labels wins, then
-    the one with the longest path; a rule that is both allow and block allows. A null url, or one without "://", has an empty host and path and is judged like any other. Repeated
-    rows each give a row, an empty table gives none, null ids stay null; other columns of df are not looked at. Only df's url and id are
-    read. Lists over max_trie_bytes are joined instead of broadcast, with the same result."""
+    the one with the longest path; a rule that is both allow and block allows; rows of rules with a null are no rules. A null url, or one
+    without "://", has an empty host and path and is judged like any other. Repeated rows each give a row, an empty table gives none, null
+    ids stay null; other columns of df are not looked at. Only df's url and id are read. Lists over max_trie_bytes are joined instead of
+    broadcast, with the same result."""
     urls = df.select(column(df, id_col).alias("page_id"), host_of(column(df, url_col)).alias("host"), path_of(column(df, url_col)).alias("path"))
     if isinstance(rules, DataFrame):
+        rules = rules.dropna(subset=["verdict", "rule"])
         size = rules.agg(F.sum(F.octet_length("rule") + F.octet_length("verdict"))).first()[0] or 0
         if size <= max_trie_bytes:
             rules = [(r.verdict, r.rule) for r in rules.collect()]
