@@ -23,15 +23,16 @@ def forward_self(df: DataFrame, value: str, horizon_us: int, tolerance_us: int,
 def forward_join(left: DataFrame, right: DataFrame, target: str, value: str, tolerance_us: int, *, key: str = "symbol", time: str = "t", name: str = "future") -> DataFrame:
     """left with the value and time of right's earliest row of the key in [target, target + tolerance], both ends included; else null.
 
-    Time is cut into buckets as long as the tolerance, so a target meets rows of two buckets at most: an equi-join. left's rows have to be
-    told apart by all their columns; equal rows come out equal."""
+    Time is cut into buckets as long as the tolerance, so a target meets rows of two buckets at most: an equi-join. Each key and target is
+    looked up once, whatever left has of it."""
     step = tolerance_us + 1
     points = right.select(F.col(key).alias("_k"), F.col(time).alias("_t"), F.col(value).alias("_v"), F.floor(F.col(time) / step).alias("_b"))
-    rows = left.withColumn("_id", F.struct(*left.columns))
-    probe = rows.select("_id", F.col(key).alias("_k"), F.col(target).alias("_at"), F.explode(F.array(F.floor(F.col(target) / step), F.floor(F.col(target) / step) + 1)).alias("_b")).distinct()
+    asked = left.select(F.col(key).alias("_k"), F.col(target).alias("_at")).distinct()
+    probe = asked.withColumn("_b", F.explode(F.array(F.floor(F.col("_at") / step), F.floor(F.col("_at") / step) + 1)))
     hits = probe.join(points, ["_k", "_b"]).where((F.col("_t") >= F.col("_at")) & (F.col("_t") <= F.col("_at") + tolerance_us))
-    best = hits.groupBy("_id").agg(F.min(F.struct("_t", "_v")).alias("_x"))
-    return rows.join(best, "_id", "left").select(*left.columns, F.col("_x._v").alias(name), F.col("_x._t").alias(f"{name}_{time}"))
+    best = hits.groupBy("_k", "_at").agg(F.min(F.struct("_t", "_v")).alias("_x"))
+    rows = left.join(best, (F.col(key) == F.col("_k")) & (F.col(target) == F.col("_at")), "left")
+    return rows.select(*left.columns, F.col("_x._v").alias(name), F.col("_x._t").alias(f"{name}_{time}"))
 
 
 def backward_last(history: DataFrame, queries: DataFrame, value: str, *, time: str = "t", order: Sequence[str] = (), keys: Sequence[str] = (), bucket_us: int = DAY_US, name: str = "last") -> DataFrame:
