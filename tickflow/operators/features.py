@@ -39,39 +39,45 @@ def compute_features(ticks: DataFrame, *, gap_us: int = GAP_US, history_us: int
     full = lambda name: w.rangeBetween(-(WINDOWS[name] - 1), 0)
     moves = lambda name: w.rangeBetween(-(WINDOWS[name] - 1), -1)  # noqa: E731  the moves whose two ends lie in the window
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    oldest = F.greatest(F.min("t").over(w.rangeBetween(-history_us, 0)), F.min("t").over(w.rowsBetween(-(history_rows - 1), 0)))
+    # frames without a lower bound grow with the rows; those with one are added up anew for each row, so long ones are avoided
+    up_to = lambda us: w.rangeBetween(Window.unboundedPreceding, -us)
     rows = rows.withColumn("turn", F.when(turns, F.col("row"))).select(
-        "*", oldest.alias("oldest"), F.last("turn", ignorenulls=True).over(so_far).alias("run_from"),
+        "*", F.greatest(t - history_us, F.lag("t", history_rows - 1).over(w)).alias("horizon"), *[F.max("t").over(up_to(us)).alias(f"before_{n}") for n, us in WINDOWS.items()],
+        F.max(F.when(price == 0, t)).over(up_to(1)).alias("zero_at"), F.last("turn", ignorenulls=True).over(so_far).alias("run_from"),
         F.max(F.when(t - F.col("last_t") > gap_us, F.col("last_t"))).over(so_far).alias("gap_from"),
-        *[F.count("t").over(full(n)).alias(f"n_{n}") for n in WINDOWS], *[F.avg("price").over(full(n)).alias(f"avg_{n}") for n in ("5m", "15m", "60m")],
+        *[F.count("t").over(full(n)).alias(f"n_{n}") for n in ("1m", "5m", "15m", "60m")], *[F.avg("price").over(full(n)).alias(f"avg_{n}") for n in ("5m", "15m", "60m")],
         *[F.first("price").over(full(n)).alias(f"first_{n}") for n in ("1m", "5m", "15m")], F.min("price").over(full("15m")).alias("min_15m"), F.max("price").over(full("15m")).alias("max_15m"),
         F.avg("volume").over(full("15m")).alias("avg_volume"), F.collect_list("price").over(full("15m")).alias("prices"),
         *[F.stddev_samp("move").over(moves(n)).alias(f"std_{n}") for n in ("15m", "60m")], *[F.sum(F.col("move") * F.col("move")).over(moves(n)).alias(f"squares_{n}") for n in ("60m", "24h")],
-        *[F.bool_or(price == 0).over(moves(n)).alias(f"zero_{n}") for n in ("15m", "60m", "24h")], F.avg("up").over(moves("15m")).alias("gain"), F.avg("down").over(moves("15m")).alias("loss"),
+        F.avg("up").over(moves("15m")).alias("gain"), F.avg("down").over(moves("15m")).alias("loss"),
     ).where("own")
 
+    # a tick that is known, being no older than the horizon, is at least as old as the window is wide
+    old_enough = lambda name: F.col(f"before_{name}") >= F.col("horizon")
+    zero = lambda name: F.coalesce(F.col("zero_at") > t - WINDOWS[name], F.lit(False))  # noqa: E731  among the moves' first prices
+
     def covered(name: str, value: Column) -> Column:
-        return F.when(F.col("oldest") <= t - WINDOWS[name], value)
+        return F.when(old_enough(name), value)
 
     alpha = 2.0 / (F.col("n_15m") + 1)
     ema = F.aggregate(F.slice("prices", 2, HISTORY_ROWS), F.get("prices", F.lit(0)), lambda e, p: alpha * p + (1 - alpha) * e)
-    previous = F.when(F.col("last_t") >= F.col("oldest"), F.col("last_volume"))
+    previous = F.when(F.col("last_t") >= F.col("horizon"), F.col("last_volume"))
     gain, loss = F.col("gain"), F.col("loss")
     rsi = F.when((gain == 0) & (loss == 0), 50.0).when(loss == 0, 100.0).otherwise(100 - 100 / (1 + over(gain, loss)))
     streak = F.when(F.col("n_60m") < 2, 0.0).otherwise(F.coalesce(F.col("sign"), F.lit(0.0)) * F.least(F.col("row") - F.col("run_from") + 1, F.col("n_60m") - 1))
     second = F.pmod(F.floor(t / 1_000_000), F.lit(86_400))
     weekday = F.pmod(F.floor(t / DAY_US) + 3, F.lit(7))  # 1970-01-01 was a Thursday
-    squares = lambda n: F.when((F.col(f"n_{n}") >= 2) & ~F.col(f"zero_{n}"), F.sqrt(f"squares_{n}"))
+    squares = lambda n: F.when((F.col("last_t") > t - WINDOWS[n]) & ~zero(n), F.sqrt(f"squares_{n}"))
     values = {f"ma_{n}": covered(n, F.col(f"avg_{n}")) for n in ("5m", "15m", "60m")}
     values |= {f"price_to_ma_{n}": covered(n, ratio_to(price, F.col(f"avg_{n}"))) for n in ("5m", "15m", "60m")}
     values |= {"ema_15m": covered("15m", ema), "high_low_range_15m": covered("15m", over(F.col("max_15m") - F.col("min_15m"), F.col("min_15m")))}
-    values |= {f"volatility_{n}": covered(n, F.when((F.col(f"n_{n}") >= 3) & ~F.col(f"zero_{n}"), F.col(f"std_{n}"))) for n in ("15m", "60m")}
+    values |= {f"volatility_{n}": covered(n, F.when((F.col(f"n_{n}") >= 3) & ~zero(n), F.col(f"std_{n}"))) for n in ("15m", "60m")}
     values |= {"realised_vol_1h": covered("60m", squares("60m")), "realised_vol_24h": covered("24h", squares("24h"))}
     values |= {f"roc_{n}": covered(n, F.when(F.col(f"n_{n}") >= 2, ratio_to(price, F.col(f"first_{n}")))) for n in ("1m", "5m", "15m")}
     values |= {"rsi_15m": covered("15m", F.when(F.col("n_15m") >= 2, rsi)), "direction_streak": covered("60m", streak), "volume_change": ratio_to(volume, previous), "volume_relative_to_ma_15m": covered("15m", ratio_to(volume, F.col("avg_volume")))}
     values |= {"hour_sin": F.sin(2 * pi * second / 86_400), "hour_cos": F.cos(2 * pi * second / 86_400), "dow_sin": F.sin(2 * pi * weekday / 7), "dow_cos": F.cos(2 * pi * weekday / 7)}
-    short = ~(F.col("oldest") <= t - DAY_US) | previous.isNull()
-    gap = F.coalesce((F.col("gap_from") > t - DAY_US) & (F.col("gap_from") >= F.col("oldest")), F.lit(False))
+    short = ~F.coalesce(old_enough("24h"), F.lit(False)) | previous.isNull()
+    gap = F.coalesce((F.col("gap_from") > t - DAY_US) & (F.col("gap_from") >= F.col("horizon")), F.lit(False))
     return rows.select("symbol", "t", "price", "volume", *[values[n].cast("double").alias(n) for n in FEATURE_NAMES], short.alias("insufficient_history"), gap.alias("has_gap"))
 
 
