@@ -32,14 +32,15 @@ def ends_of(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
 
 
-def linked_groups(rows: DataFrame, near: Column, verified: Callable[[DataFrame], DataFrame], *, common: int | None = None, others: int = 0, block: int = BLOCK, drop: bool = False) -> DataFrame:
+def linked_groups(rows: DataFrame, near: Column, verified: Callable[[DataFrame], DataFrame], *, common: int | None = None, others: int = 0, close: Column | None = None, block: int = BLOCK, drop: bool = False) -> DataFrame:
     """(node, component) of the rows (id, keys, ...) that are linked to any: two rows are that share a key, for whose other columns (those of
     the second with b_ before their names) `near` holds, and whose pair (a, b) is among the edges (src, dst), a written table, that
     verified(pairs) returns.
 
     Each row is compared with the first row of each of its keys, and then only with rows of the key that are in other groups, so that no
     pairs within a group are written; a key of many rows is compared in pairs of blocks, so none lands whole in a task. With `common`, keys
-    of more rows than that count only for rows that have under `others` rarer ones. With `drop`, the written table of rows is deleted
+    of more rows than that count only for rows that have under `others` rarer ones. With `close`, a condition like `near`, rows that are not
+    the first of their key are compared only if it holds or if they share another key. With `drop`, the written table of rows is deleted
     once it is read."""
     seen = [c for c in rows.columns if c not in ("id", "keys")]
     other = [F.col(c).alias(f"b_{c}") for c in seen]
@@ -62,7 +63,9 @@ def linked_groups(rows: DataFrame, near: Column, verified: Callable[[DataFrame],
     dealt = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     left = split.select("key", F.col("at").alias("i"), dealt.alias("j"), *seen, F.col("id").alias("a"), "own", "big")
     right = split.where("own <> big").select("key", dealt.alias("i"), F.col("at").alias("j"), *other, F.col("id").alias("b"), F.col("own").alias("b_own"))
-    cross = materialize(left.join(right, ["key", "i", "j"]).where("own <> b_own and (own = big or a < b)").where(near).select("a", "b").distinct())
+    cross = left.join(right, ["key", "i", "j"]).where("own <> b_own and (own = big or a < b)").where(near)
+    cross = cross.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.max(F.lit(True) if close is None else close).alias("close"))
+    cross = materialize(cross.where("close or shared > 1").select("a", "b"))
     drop_table(split)
     if cross.isEmpty():
         return groups
