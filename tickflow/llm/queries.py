@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickflow.llm import lines, packing, quality, rules, shards, simhash, substrings, templates, urls, warc
+from tickflow.llm import lines, packing, quality, rules, runs, shards, simhash, substrings, templates, urls, warc
 
 QUERIES = {
     "op1_url_filter": urls.op1_url_filter,
@@ -15,8 +15,9 @@ QUERIES = {
     "op8_substrings": substrings.op8_substrings,
     "op9_lines": lines.op9_lines,
     "op10_warc": warc.op10_warc,
+    "op11_runs": runs.op11_runs,
 }
-#: Not here: op2, op6 and op9 (XXH64 or a canonical form that is not in SQL; tested by brute force), op3 (a fitted model; its held-out accuracy is tested), op7 (token ids; tested as an exact round trip).
+#: Not here: op2, op6 and op9 (XXH64 or a canonical form that is not in SQL; tested by brute force), op3 (a fitted model; its held-out accuracy is tested), op7 (token ids; tested as an exact round trip), op11 (CRC-32 and LCP trees; tested against the definition).
 SQL = {
     "op1_url_filter": urls.OP1_SQL,
     "op4_quality_rules": rules.OP4_SQL,
