@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickflow.operators.metrics import distribution_shift
+from tickflow.operators.metrics import distribution_shift, latest_prior
 
 
 @dataclass(frozen=True)
@@ -77,6 +77,14 @@ def accuracy_rule(slices: DataFrame, *, least: float = 0.34, resolved: int = 50,
     return bad.select(F.lit("model_accuracy_degraded").alias("alert_name"), F.concat(F.lit("model_accuracy_degraded:"), F.col("model_version").cast("string")).alias("dedup_key"), F.format_number("accuracy", 4).alias("details"))
 
 
+def stored_prior(runs: DataFrame) -> dict[str, float] | None:
+    """The training prior of mix_rule(): the shares of the newest stored run's training labels; None where no run has any."""
+    counts = F.from_json("counts", "map<string, bigint>")
+    own = F.transform_keys(F.map_filter(counts, lambda k, _: k.startswith("train_")), lambda k, _: F.substring_index(k, "_", -1))
+    row = latest_prior(runs.select(own.alias("counts"), "finished")).first()  # one row
+    return dict(row["prior"]) if row else None
+
+
 def mix_rule(slices: DataFrame, prior: dict[str, float] | None, *, most: float = 0.30) -> DataFrame:
     """The version whose predicted mix lies furthest from the training prior, if by over `most`; without a prior there is no evidence."""
     rows = distribution_shift(slices, prior or {}).where(F.lit(prior is not None and bool(prior)) & (F.col("shift") > most))

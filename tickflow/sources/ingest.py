@@ -43,11 +43,11 @@ def decode(messages: DataFrame, value_col: str = "value") -> DataFrame:
     return rows.withColumn("reason", wrong)
 
 
-def encode(ticks: DataFrame) -> DataFrame:
-    """Ticks as JSON envelopes in a column `value`, as the sinks of text and of message logs take them."""
+def encode(ticks: DataFrame, *keep: str) -> DataFrame:
+    """Ticks as JSON envelopes in a column `value`, as the sinks of text and of message logs take them; columns to keep stand beside it."""
     stamp = lambda c: F.date_format(F.col(c), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
     payload = F.struct(F.col("price").cast("string").alias("price"), F.col("volume").cast("string").alias("volume"), stamp("observed_at").alias("provider_observed_at"))
-    return ticks.select(F.to_json(F.struct("message_id", "correlation_id", "schema_version", stamp("emitted_at").alias("emitted_at"), "symbol", payload.alias("payload"))).alias("value"))
+    return ticks.select(F.to_json(F.struct("message_id", "correlation_id", "schema_version", stamp("emitted_at").alias("emitted_at"), "symbol", payload.alias("payload"))).alias("value"), *keep)
 
 
 def split_valid(decoded: DataFrame, *, expire_before: Column | None = None, late_before: Column | None = None) -> tuple[DataFrame, DataFrame]:
