@@ -15,6 +15,8 @@ from tickflow.operators.halo import by_chunk, chunked
 #: A tick knows of what lies at most so far back, and of at most so many ticks.
 HISTORY_US, HISTORY_ROWS = 27 * HOUR_US, 10_000
 GAP_US = 120_000_000
+#: A larger square of a move counts as this: a price that grew by 16 digits from one tick to the next.
+MOST_SQUARE = 1e33
 WINDOWS = {"1m": MINUTE_US, "5m": 5 * MINUTE_US, "15m": 15 * MINUTE_US, "60m": HOUR_US, "24h": DAY_US}
 
 
@@ -41,14 +43,19 @@ def compute_features(ticks: DataFrame, *, gap_us: int = GAP_US, history_us: int
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
     # frames without a lower bound grow with the rows; those with one are added up anew for each row, so long ones are avoided
     up_to = lambda us: w.rangeBetween(Window.unboundedPreceding, -us)
-    rows = rows.withColumn("turn", F.when(turns, F.col("row"))).select(
+    # a day's sum of squares is the difference of two such frames; as decimals, whole numbers and fractions apart, it is exact
+    square = F.when(F.col("move") * F.col("move") < MOST_SQUARE, F.col("move") * F.col("move")).when(F.col("move").isNotNull(), MOST_SQUARE)
+    whole = F.floor(square)
+    rows = rows.withColumns({"turn": F.when(turns, F.col("row")), "whole": F.when(square < 1e15, whole.cast("decimal(34,0)")).otherwise(square.cast("decimal(34,0)")), "part": F.when(square < 1e15, square - whole).otherwise(0.0).cast("decimal(21,20)")})
+    day = lambda c: F.coalesce((F.sum(c).over(up_to(1)) - F.coalesce(F.sum(c).over(up_to(DAY_US)), F.lit(0))).cast("double"), F.lit(0.0))
+    rows = rows.select(
         "*", F.greatest(t - history_us, F.lag("t", history_rows - 1).over(w)).alias("horizon"), *[F.max("t").over(up_to(us)).alias(f"before_{n}") for n, us in WINDOWS.items()],
         F.max(F.when(price == 0, t)).over(up_to(1)).alias("zero_at"), F.last("turn", ignorenulls=True).over(so_far).alias("run_from"),
         F.max(F.when(t - F.col("last_t") > gap_us, F.col("last_t"))).over(so_far).alias("gap_from"),
         *[F.count("t").over(full(n)).alias(f"n_{n}") for n in ("1m", "5m", "15m", "60m")], *[F.avg("price").over(full(n)).alias(f"avg_{n}") for n in ("5m", "15m", "60m")],
         *[F.first("price").over(full(n)).alias(f"first_{n}") for n in ("1m", "5m", "15m")], F.min("price").over(full("15m")).alias("min_15m"), F.max("price").over(full("15m")).alias("max_15m"),
         F.avg("volume").over(full("15m")).alias("avg_volume"), F.collect_list("price").over(full("15m")).alias("prices"),
-        *[F.stddev_samp("move").over(moves(n)).alias(f"std_{n}") for n in ("15m", "60m")], *[F.sum(F.col("move") * F.col("move")).over(moves(n)).alias(f"squares_{n}") for n in ("60m", "24h")],
+        *[F.stddev_samp("move").over(moves(n)).alias(f"std_{n}") for n in ("15m", "60m")], F.sum(F.col("move") * F.col("move")).over(moves("60m")).alias("squares_60m"), (day("whole") + day("part")).alias("squares_24h"),
         F.avg("up").over(moves("15m")).alias("gain"), F.avg("down").over(moves("15m")).alias("loss"),
     ).where("own")
 
