@@ -1,0 +1,119 @@
+"""Appends that are whole or not at all, upserts of touched partitions, stored audits, and attribution that reads what it needs."""
+
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickflow.functions.scalars import DAY_US, MINUTE_US
+from tickflow.operators import attribution, quality
+from tickflow.sources import sinks
+
+
+class Died(Exception):
+    pass
+
+
+def die():
+    raise Died
+
+
+def frame(spark, rows):
+    return sinks.with_month(spark.createDataFrame(rows, "symbol string, t long, message_id string"))
+
+
+def test_a_crash_before_the_commit_changes_nothing(spark, tmp_path):
+    path, rows = f"{tmp_path}/t", frame(spark, [("X", k * 20 * DAY_US, f"{k}") for k in range(6)])
+    sinks.insert_if_absent(rows.where("t = 0"), path, sinks.TICK_KEYS, partition="month")
+    with pytest.raises(Died):
+        sinks.insert_if_absent(rows, path, sinks.TICK_KEYS, partition="month", before_commit=die)
+    assert spark.read.parquet(path).count() == 1  # what was written aside is not seen
+    assert sinks.insert_if_absent(rows, path, sinks.TICK_KEYS, partition="month")
+    assert not sinks.insert_if_absent(rows, path, sinks.TICK_KEYS, partition="month")
+    got = spark.read.parquet(path)
+    assert got.count() == 6 and got.select("commit").distinct().count() == 2
+
+
+def test_two_writers_leave_one_row_per_key(spark, tmp_path):
+    """Both have compared with the same table and written before either commits; the second one compares again."""
+    path, meet = f"{tmp_path}/t", threading.Barrier(2, timeout=60)
+    waited = threading.local()
+
+    def together():
+        if not getattr(waited, "done", False):
+            waited.done = True
+            meet.wait()
+
+    parts = [frame(spark, [("X", k * DAY_US, f"{name}{k}") for k in keys]) for name, keys in (("a", range(5)), ("b", range(3, 9)))]
+    failed = []
+
+    def write(rows):
+        try:
+            sinks.insert_if_absent(rows, path, sinks.TICK_KEYS, partition="month", before_commit=together)
+        except Exception as e:
+            failed.append(e)
+
+    threads = [threading.Thread(target=write, args=(p,)) for p in parts]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert not failed
+    rows = spark.read.parquet(path).collect()
+    assert sorted(r.t // DAY_US for r in rows) == list(range(9)) and {r.commit for r in rows} == {1, 2}
+
+
+def test_upsert_writes_touched_partitions_only(spark, tmp_path):
+    path = f"{tmp_path}/d"
+    make = lambda rows: spark.createDataFrame(rows, "symbol string, day int, value double, at int, month string")
+    first = make([("X", 1, 1.0, 1, "m1"), ("X", 2, 1.0, 1, "m2"), ("Y", 1, 1.0, 5, "m1"), ("Z", 3, 1.0, 1, "m3")])
+    files = lambda m: sorted(str(p) for p in (tmp_path / "d" / f"month={m}").glob("*.parquet"))
+    assert sinks.upsert_stored(first, path, ["symbol", "day"], "at", "month") == ["m1", "m2", "m3"]
+    before = {m: files(m) for m in ("m1", "m2", "m3")}
+    second = make([("X", 1, 2.0, 2, "m1"), ("Y", 1, 9.0, 4, "m1"), ("Z", 3, 1.0, 1, "m3")])  # newer, older, the same
+    assert sinks.upsert_stored(second, path, ["symbol", "day"], "at", "month") == ["m1"]
+    assert files("m2") == before["m2"] and files("m3") == before["m3"] and files("m1") != before["m1"]
+    want = [("X", 1, 2.0), ("X", 2, 1.0), ("Y", 1, 1.0), ("Z", 3, 1.0)]
+    table = lambda: sorted((r.symbol, r.day, r.value) for r in spark.read.parquet(path).collect())
+    assert table() == want and sinks.upsert_stored(second, path, ["symbol", "day"], "at", "month") == []
+    # a job that dies before the swap is made good by the next call, whatever that brings
+    third = make([("X", 2, 7.0, 3, "m2")])
+    with pytest.raises(Died):
+        sinks.upsert_stored(third, path, ["symbol", "day"], "at", "month", before_swap=die)
+    assert table() == want
+    sinks.upsert_stored(first.where("false"), path, ["symbol", "day"], "at", "month")
+    assert table() == [("X", 1, 2.0), ("X", 2, 7.0), ("Y", 1, 1.0), ("Z", 3, 1.0)]
+
+
+def test_the_gate_reads_stored_rows(spark, tmp_path):
+    path, now = f"{tmp_path}/audit", 40 * DAY_US
+    symbols = spark.createDataFrame([("X",), ("Y",)], "symbol string")
+    assert not quality.stored_gate(spark, path, now - DAY_US, now).first()["open"]
+    run = lambda at, bad=(): quality.audit_rows({c: symbols.withColumn("passed", F.lit(c not in bad)) for c in quality.CHECKS}, at, at - DAY_US)
+    quality.store_audit(run(now, bad=("validity",)), path)
+    assert tuple(quality.stored_gate(spark, path, now - DAY_US, now).first()) == (False, 0, 1)
+    for _ in range(2):
+        quality.store_audit(run(now + 1), path)
+    assert spark.read.parquet(path).count() == 16
+    assert quality.stored_gate(spark, path, now - DAY_US, now + 1).first()["open"]
+    assert not quality.stored_gate(spark, path, now - DAY_US, now).first()["open"]  # the later run is not known yet
+    assert quality.stored_gate(spark, path, now + 2, now + 3).first()["missing"] == 4
+
+
+def test_attribution_rests_and_prunes(spark, tmp_path):
+    """A prediction without a price rests after a day; runs read the months of what is unresolved only."""
+    h, tol, month = 10 * MINUTE_US, MINUTE_US, 31 * DAY_US
+    ticks = sinks.with_month(spark.createDataFrame([("X", k * month + j * h, 100.0 + j) for k in range(3) for j in range(3)], "symbol string, t long, price double"))
+    ticks.write.partitionBy("month").parquet(f"{tmp_path}/ticks")
+    at = lambda k, t: ("X", k * month + t, "1", "UP", k * month + t)
+    predictions = spark.createDataFrame([at(0, 0), at(0, 2 * h), at(2, 0)], "symbol string, t long, model_version string, predicted string, predicted_t long")
+    attribution.store_predictions(predictions, f"{tmp_path}/p")
+    run = lambda now, **more: attribution.attribution_run(spark.read.parquet(f"{tmp_path}/p").drop("commit"), f"{tmp_path}/o", spark.read.parquet(f"{tmp_path}/ticks"), now_us=now, horizon_us=h, tolerance_us=tol, start_us=0, theta=0.001, **more).collect()
+    state = lambda: {(r.t // month, r.t % month // h): r.status for r in spark.read.parquet(f"{tmp_path}/o").collect()}
+    assert run(h // 2) == []  # nothing is due yet
+    assert attribution.attribution_run(predictions, f"{tmp_path}/none", spark.read.parquet(f"{tmp_path}/ticks").where("t < 0"), now_us=4 * h, horizon_us=h, tolerance_us=tol, start_us=0, theta=0.001).count() == 0  # and none of what is due is known
+    assert [r.n for r in run(4 * h)] == [1] and state() == {(0, 0): "resolved"}
+    run(2 * DAY_US)
+    assert state() == {(0, 0): "resolved", (0, 2): "no_future"}
+    assert [r.n for r in run(2 * month + 2 * h, reach_us=3 * DAY_US)] == [2] and state()[(2, 0)] == "resolved"
+    assert {r.month for r in spark.read.parquet(f"{tmp_path}/o").collect()} == {"1970-01", "1970-03"}

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickflow.functions.scalars import forward_return, label_of
+from tickflow.functions.scalars import DAY_US, forward_return, label_of
 from tickflow.operators.asof import forward_join
 from tickflow.operators.metrics import performance_slices
-from tickflow.sources.sinks import PREDICTION_KEYS, exists, insert_if_absent
+from tickflow.sources.sinks import PREDICTION_KEYS, has_rows, insert_if_absent, months_between, stored, with_month
 
 KEY = PREDICTION_KEYS[0]
 
@@ -47,13 +47,13 @@ def slices(resolved: DataFrame, start_us: int, end_us: int, time: str = "predict
 
 
 def store_predictions(rows: DataFrame, path: str) -> None:
-    """Append the predictions whose (symbol, t, model_version) is new; the first one written stays."""
-    insert_if_absent(rows, path, PREDICTION_KEYS)
+    """Append the predictions whose (symbol, t, model_version) is new, by the month of t; the first one written stays."""
+    insert_if_absent(with_month(rows), path, PREDICTION_KEYS, partition="month")
 
 
 def store_outcomes(resolved: DataFrame, path: str) -> None:
-    """Append what became of predictions, once each. What has no price yet is not stored, so a later run looks at it again."""
-    insert_if_absent(resolved.where("status = 'resolved'"), path, PREDICTION_KEYS)
+    """Append what became of predictions, once each, by the month of t."""
+    insert_if_absent(with_month(resolved), path, PREDICTION_KEYS, partition="month")
 
 
 def newest_theta(runs: DataFrame) -> float:
@@ -64,15 +64,39 @@ def newest_theta(runs: DataFrame) -> float:
     return float(row["theta"])
 
 
-def attribution_run(predictions: DataFrame, path: str, ticks: DataFrame, *, now_us: int, horizon_us: int, tolerance_us: int, start_us: int, theta: float | None = None, runs: DataFrame | None = None, time: str = "predicted_t") -> DataFrame:
+def attribution_run(predictions: DataFrame, path: str, ticks: DataFrame, *, now_us: int, horizon_us: int, tolerance_us: int, start_us: int, theta: float | None = None, runs: DataFrame | None = None, time: str = "predicted_t", final_us: int = DAY_US, reach_us: int | None = None) -> DataFrame:
     """Resolve what the outcomes stored at path lack, store it, and return the slices per model version of what was predicted in
-    [start_us, now_us). theta: given, or that of the newest training run."""
+    [start_us, now_us). theta: given, or that of the newest training run.
+
+    A prediction without a price is looked at again until final_us after its tolerance; then it is stored as it is, and rests. With reach_us
+    only predictions of so long before now are looked at at all: it has to exceed the time between two runs, with horizon, tolerance and
+    final_us. Predictions, outcomes and ticks are read by the months and times that unresolved predictions touch; ticks and predictions with
+    a column `month` are pruned by it."""
     if theta is None:
         if runs is None:
             raise NoTheta("no theta and no training runs")
         theta = newest_theta(runs)
     spark = predictions.sparkSession
-    none = predictions.select(*KEY).where("false")
-    outcomes = spark.read.parquet(path).select(*KEY) if exists(spark, path) else none
-    store_outcomes(resolve(predictions, outcomes, ticks, now_us=now_us, horizon_us=horizon_us, tolerance_us=tolerance_us, theta=theta), path)
+    due = predictions.where(F.col("t") <= now_us - horizon_us)
+    if reach_us is not None:
+        due = _between(due, now_us - reach_us, now_us - horizon_us)
+    like = due.select(*KEY).withColumn("month", F.lit(""))
+    outcomes = stored(spark, path, like)
+    if reach_us is not None:
+        outcomes = outcomes.where(F.col("month").isin(months_between(now_us - reach_us, now_us)))
+    todo = unresolved(due, outcomes.select(*KEY), now_us, horizon_us).persist()
+    lo, hi = todo.agg(F.min("t"), F.max("t")).first()
+    if lo is not None:
+        near = _between(ticks, lo, hi + horizon_us + tolerance_us)
+        done = resolve(todo.drop("month"), outcomes.select(*KEY).where("false"), near, now_us=now_us, horizon_us=horizon_us, tolerance_us=tolerance_us, theta=theta)
+        store_outcomes(done.where((F.col("status") == "resolved") | (F.col("t") <= now_us - horizon_us - tolerance_us - final_us)), path)
+    todo.unpersist()
+    if not has_rows(spark, path):
+        return slices(todo.where("false").withColumns({"status": F.lit(""), "actual": F.lit("")}), start_us, now_us, time)
     return slices(spark.read.parquet(path), start_us, now_us, time)
+
+
+def _between(rows: DataFrame, start_us: int, end_us: int) -> DataFrame:
+    """The rows of [start, end], pruned by months where rows have them."""
+    near = rows.where((F.col("t") >= start_us) & (F.col("t") <= end_us))
+    return near.where(F.col("month").isin(months_between(start_us, end_us + 1))) if "month" in rows.columns else near

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tickflow.functions.registry import FEATURE_NAMES, finite, unpivoted
 from tickflow.functions.scalars import DAY_US
 from tickflow.operators.halo import by_chunk
+from tickflow.sources.sinks import insert_if_absent, months_between, stored, with_month
 
 CHECKS = ("freshness", "completeness", "validity", "distribution")
 
@@ -81,3 +82,18 @@ def gate(audit: DataFrame, since_us: int) -> DataFrame:
     """One row (open, missing, failed): open only if every check ran since then and its newest run passed. Absence is no pass."""
     s = latest_status(audit, since_us)
     return s.agg(F.bool_and(F.coalesce("passed", F.lit(False))).alias("open"), F.count_if(F.col("passed").isNull()).alias("missing"), F.count_if(F.col("passed") == F.lit(False)).alias("failed"))
+
+
+AUDIT_KEYS = (("check_name", "symbol", "window_end", "checked_at"),)
+
+
+def store_audit(rows: DataFrame, path: str) -> None:
+    """Append a run's audit rows, by the month of their time; a run that is stored again adds nothing."""
+    insert_if_absent(with_month(rows, "checked_at"), path, AUDIT_KEYS, partition="month")
+
+
+def stored_gate(spark: SparkSession, path: str, since_us: int, now_us: int) -> DataFrame:
+    """gate() over the stored audit rows: only the months from since_us to now_us are read. Without a table the gate is shut."""
+    like = spark.createDataFrame([], "check_name string, symbol string, passed boolean, details string, window_start long, window_end long, checked_at long, month string")
+    rows = stored(spark, path, like)
+    return gate(rows.where(F.col("month").isin(months_between(since_us, now_us + 1)) & (F.col("checked_at") <= now_us)), since_us)

@@ -10,7 +10,7 @@ from tickflow.operators import alerts, attribution, drift, panels, quality, scan
 from tickflow.plans import model_queries as M
 from tickflow.plans.base import FEATURES_SQL, MIDDLE_US, NOW_US, START_US, TICKS_SQL, features, rounded
 from tickflow.sources.ingest import ticks
-from tickflow.sources.shared import materialize
+from tickflow.sources.shared import materialize, shared_dir
 
 INTERVAL_US = 30 * MINUTE_US
 WEEK = 5 * DAY_US
@@ -48,7 +48,10 @@ def _audit(spark, sf_dir):
 
 def quality_gate(spark, sf_dir):
     """Validity did not run, so the gate stays shut."""
-    return quality.gate(_audit(spark, sf_dir), NOW_US - HOUR_US)
+    path = f"{shared_dir(spark)}/audit"
+    for _ in range(2):
+        quality.store_audit(_audit(spark, sf_dir), path)
+    return quality.stored_gate(spark, path, NOW_US - HOUR_US, NOW_US)
 
 
 def quality_latest_status(spark, sf_dir):

@@ -1,8 +1,9 @@
-"""Sinks over Parquet tables: insert-if-absent, latest-wins upserts, months, and archives that are verified before anything is dropped."""
+"""Sinks over Parquet tables: atomic insert-if-absent, latest-wins upserts, months, and archives that are verified before anything is dropped."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,44 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """The table at path, or an empty one of the same columns where there is none yet."""
-    return spark.read.schema(like.schema).parquet(path) if exists(spark, path) else like.where("false")
+    return spark.read.schema(like.schema).parquet(path).select(*like.columns) if has_rows(spark, path) else like.where("false")
+
+
+def has_rows(spark: SparkSession, path: str) -> bool:
+    """Whether anything is committed at path; what is written aside does not count."""
+    return bool(_folders(spark, f"{path}/[!_.]*"))
+
+
+class Conflict(RuntimeError):
+    """Other writers were first, again and again."""
+
+
+def _folders(spark: SparkSession, pattern: str) -> list[str]:
+    p = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return [str(f.getPath()) for f in p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or []]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _next_commit(spark: SparkSession, path: str) -> int:
+    return max((int(f.rpartition("commit=")[2]) for f in _folders(spark, f"{path}/commit=*")), default=0) + 1
+
+
+def _publish(spark: SparkSession, staged: str, target: str) -> bool:
+    """Rename a written folder to its place, all or nothing; False if something is there already, and nothing was done."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    source, place = fs.Path(staged), fs.Path(target)
+    none = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        fs.FileContext.getFileContext(source.toUri(), spark._jsc.hadoopConfiguration()).rename(source, place, none)
+    except Exception as e:
+        if exists(spark, target) and exists(spark, staged):
+            return False
+        raise e
+    return True
 
 
 def new_rows(rows: DataFrame, table: DataFrame, keys: Sequence[Sequence[str]]) -> DataFrame:
@@ -41,17 +79,33 @@ def in_partitions(table: DataFrame, partition: str, values: Sequence) -> DataFra
     return table.where(F.col(partition).isin(list(values))) if len(values) else table.where("false")
 
 
-def insert_if_absent(rows: DataFrame, path: str, keys: Sequence[Sequence[str]], *, partition: str | None = None) -> None:
-    """Append the rows that the table has none of the keys of. A rerun adds nothing; a job that died between two sinks is made good by
-    running it again, as each sink compares with what it has itself. A partition column has to follow from each key: only the partitions
-    that the rows fall in are read, so the cost does not grow with the table's age."""
+def insert_if_absent(rows: DataFrame, path: str, keys: Sequence[Sequence[str]], *, partition: str | None = None, tries: int = 20, before_commit: Callable[[], None] | None = None) -> bool:
+    """Append the rows that the table has none of the keys of; whether there were any.
+
+    The new rows are written aside and appear as a whole by one rename, to the next number after the commits that were compared with. If
+    another writer took that number first, the comparison is made again, so two writers at a time leave one row per key; if a job dies
+    before the rename, nothing has changed, and running it again adds what it would have. A job that died between two sinks is made good in
+    the same way, as each sink compares with what it has itself. A partition column has to follow from each key: only the partitions that
+    the rows fall in are read, so the cost does not grow with the table's age. before_commit is called once the rows are written."""
     spark = rows.sparkSession
-    table = stored(spark, path, rows)
-    if partition:
-        table = in_partitions(table, partition, partitions_of(rows, partition))
-    fresh = new_rows(rows, table, keys)
-    writer = fresh.write.mode("append")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    for _ in range(tries):
+        number = _next_commit(spark, path)  # before the table is listed: whatever is committed later takes this number
+        table = stored(spark, path, rows)
+        if partition:
+            table = in_partitions(table, partition, partitions_of(rows, partition))
+        staged = f"{path}/_staging/{uuid.uuid4().hex}"
+        writer = new_rows(rows, table, keys).write
+        (writer.partitionBy(partition) if partition else writer).parquet(staged)
+        some = bool(_folders(spark, f"{staged}/{partition}=*")) if partition else not spark.read.schema(rows.schema).parquet(staged).isEmpty()
+        if not some and (number > 1 or partition):
+            _delete(spark, staged)
+            return False
+        if before_commit:
+            before_commit()
+        if _publish(spark, staged, f"{path}/commit={number:08d}"):
+            return some
+        _delete(spark, staged)
+    raise Conflict(f"{path}: {tries} times another writer was first")
 
 
 def with_month(rows: DataFrame, time: str = "t", name: str = "month") -> DataFrame:
@@ -76,6 +130,36 @@ def upsert(table: DataFrame, rows: DataFrame, keys: Sequence[str], newest: str)
     return best.select(*keys, "_x.*").drop("_side").select(*table.columns)
 
 
+def upsert_stored(rows: DataFrame, path: str, keys: Sequence[str], newest: str, partition: str, *, before_swap: Callable[[], None] | None = None) -> list:
+    """Bring rows into the table at path, partitioned by a column that follows from the keys: of each key the row of greatest `newest`
+    stays, the new one of equal ones. Returns the partitions that changed; no other is written, and rows that change nothing change none.
+
+    The changed partitions are written aside first and then swapped in by an overwrite of just these. What a job that died in between left
+    aside is complete, and is swapped in by the next call before anything else. One writer at a time."""
+    spark = rows.sparkSession
+    for left in sorted(_folders(spark, f"{path}/_redo/*")):
+        if exists(spark, f"{left}/_SUCCESS"):
+            _swap(spark, left, path, rows, partition)
+        _delete(spark, left)
+    touched = partitions_of(rows, partition)
+    table = in_partitions(stored(spark, path, rows), partition, touched)
+    after = upsert(table, rows, keys, newest)
+    changed = sorted(r[0] for r in after.exceptAll(table).select(partition).distinct().collect())  # of the partitions that rows fall in
+    if changed:
+        staged = f"{path}/_redo/{uuid.uuid4().hex}"
+        in_partitions(after, partition, changed).write.partitionBy(partition).parquet(staged)
+        if before_swap:
+            before_swap()
+        _swap(spark, staged, path, rows, partition)
+        _delete(spark, staged)
+    return changed
+
+
+def _swap(spark: SparkSession, staged: str, path: str, like: DataFrame, partition: str) -> None:
+    new = spark.read.schema(like.schema).parquet(staged).select(*like.columns)
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+
+
 def latest_stage(events: DataFrame) -> DataFrame:
     """The current stage of each model version, of append-only stage events (model_version, stage, at)."""
     return events.groupBy("model_version").agg(F.max_by("stage", "at").alias("stage"), F.max("at").alias("at"))
@@ -96,7 +180,7 @@ def archivable_months(table: DataFrame, as_of_us: int, keep_months: int = 6, mon
 def archive_month(spark: SparkSession, path: str, archive: str, audit: str, month: str, *, table: str = "ticks", drop: bool = True) -> DataFrame:
     """Copy one month to the archive, read the copy back, compare rows and checksum, append the audit row, and only then drop the month.
     A copy that differs raises and leaves the source as it is. Returns the audit row."""
-    source = spark.read.parquet(path).where(F.col("month") == month).drop("month")
+    source = spark.read.parquet(path).where(F.col("month") == month).drop("month", "commit")
     target = f"{archive}/{table}/month={month}"
     source.write.mode("overwrite").parquet(target)
     rows, checksum = fingerprint(source)
@@ -105,6 +189,6 @@ def archive_month(spark: SparkSession, path: str, archive: str, audit: str, mont
     row = spark.createDataFrame([(table, month, rows, target, str(checksum))], "table string, month string, rows long, location string, checksum string")
     row.write.mode("append").parquet(audit)
     if drop:
-        p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/month={month}")
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        for folder in _folders(spark, f"{path}/month={month}") + _folders(spark, f"{path}/commit=*/month={month}"):
+            _delete(spark, folder)
     return row
