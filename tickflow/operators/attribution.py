@@ -88,7 +88,7 @@ def attribution_run(predictions: DataFrame, path: str, ticks: DataFrame, *, now_
     lo, hi = todo.agg(F.min("t"), F.max("t")).first()
     if lo is not None:
         near = _between(ticks, lo, hi + horizon_us + tolerance_us)
-        done = resolve(todo.drop("month"), outcomes.select(*KEY).where("false"), near, now_us=now_us, horizon_us=horizon_us, tolerance_us=tolerance_us, theta=theta)
+        done = resolve(todo.drop("month", "commit"), outcomes.select(*KEY).where("false"), near, now_us=now_us, horizon_us=horizon_us, tolerance_us=tolerance_us, theta=theta)
         store_outcomes(done.where((F.col("status") == "resolved") | (F.col("t") <= now_us - horizon_us - tolerance_us - final_us)), path)
     todo.unpersist()
     if not has_rows(spark, path):

@@ -31,7 +31,7 @@ def _attributed(spark, sf_dir):
 
 
 def outcomes_stored(spark, sf_dir):
-    rows = spark.read.parquet(_attributed(spark, sf_dir)[1])
+    rows = spark.read.parquet(_attributed(spark, sf_dir)[1]).where("status = 'resolved'")
     return rounded(rows.select("symbol", "t", "model_version", "predicted", "actual", "realised_return", "is_correct"))
 
 
