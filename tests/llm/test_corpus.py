@@ -580,13 +580,34 @@ def test_a_hot_key_is_split(spark, monkeypatch):
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     want = {r.doc_id: r.group_doc_id for r in lines.line_groups(frame).collect()}
     assert want == {d: d - d % 2 for d in want}
-    rows = common.materialize(lines.keyed_lines(frame.select(F.col("doc_id").alias("doc"), "text")).select(F.col("doc").alias("id"), "length", "keys"))
+    rows = common.materialize(lines.keyed_lines(frame.select(F.col("doc_id").alias("doc"), "text")).select(F.col("doc").alias("id"), "length", "keys", "sample"))
     words = frame.select(F.col("doc_id").alias("id"), F.split("text", " ").alias("words"))
     for block, most in ((3, None), (3, 10)):
-        got = linked.linked_groups(rows, F.col("length") > 0, lambda p: lines._verified(p, words, 0.8), common=most, others=lines.OTHERS, block=block).collect()
+        got = linked.linked_groups(rows, F.col("length") > 0, lambda p: lines._verified(p, words, 0.8), common=most, split="sample", block=block).collect()
         assert {r.node: r.component for r in got} == want
 
 
+def test_links_do_not_depend_on_how_many_lines_share_a_key(spark, monkeypatch):
+    """Lines of one opening and six other words, up to three of them exchanged: pairs that are linked alone are linked among ten times as
+    many, with all the opening's runs far above the bound of what is common."""
+    monkeypatch.setattr(lines, "COMMON", 40)
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), int(rng.integers(3, 10))))
+    opening, texts = [word() for _ in range(12)], []
+    for _ in range(300):
+        one = [word() for _ in range(6)]
+        two = [word() if k in rng.choice(6, int(rng.integers(0, 4)), replace=False) else w for k, w in enumerate(one)]
+        texts += [" ".join(opening + one), " ".join(opening + two)]
+    near = {frozenset(p) for p in similar_lines(dict(enumerate(texts)))}
+    pairs = [k for k in range(0, 600, 2) if texts[k] != texts[k + 1] and frozenset(texts[k : k + 2]) in near]
+    got = []
+    for many in (60, 600):
+        frame = spark.createDataFrame(list(enumerate(texts))[:many], "doc_id long, text string")
+        group = {r.doc_id: r.group_doc_id for r in lines.line_groups(frame).collect()}
+        got.append({k for k in pairs if k < many and group[k] == group[k + 1]})
+    assert got[0] <= got[1] and len(got[1]) >= 0.97 * len(pairs)
+
+
 def test_simhash_of_a_sample(spark):
     rng = np.random.default_rng(0)
     rows = [(k, [int(x) for x in np.sort(rng.integers(-(2**63), 2**63 - 1, n))]) for k, n in enumerate([*range(lines.SAMPLE + 1)] * 2)]

@@ -12,19 +12,39 @@ from tickflow.llm.components import connected_components
 
 #: Rows of one key that a task compares with as many others; a larger key is compared in pairs of blocks.
 BLOCK = 1024
+#: Of a row's keys that too many rows share, how many are split.
+SPLITS = 3
 
 
-def _shared(rows: DataFrame, common: int | None, others: int) -> DataFrame:
-    """A row (key, n, id) per row and key that n > 1 rows have. A key of over `common` rows is left out for rows that have `others` or more
-    rarer ones, shared or not."""
-    keyed = rows.select("id", F.explode("keys").alias("key"))
-    counts = materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))  # written, so that a hot key's rows can be split
-    shared = materialize(keyed.join(counts, "key").select("key", "n", "id"))
+def _counted(rows: DataFrame) -> DataFrame:
+    """A row (key, n, id) per row and key that n > 1 rows have; both tables are written, so that a hot key's rows can be split."""
+    counts = materialize(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    out = materialize(rows.join(counts, "key").select("key", "n", "id"))
+    drop_table(counts)
+    return out
+
+
+def _shared(rows: DataFrame, common: int | None, split: str | None) -> DataFrame:
+    """A row (key, n, id, full) per row and key that n > 1 rows have. full: rows of the key are compared with each other, not only with
+    the key's first one.
+
+    A key of over `common` rows is split by the items of the column `split`: rows meet that have the key and an item in common which few of
+    the key's rows have, and those that have the same of its frequent items. Of a row's hot keys the SPLITS rarest are split; as counts are
+    the same for all rows, rows that share hot keys mostly split by the same ones."""
+    shared = _counted(rows.select("id", F.explode("keys").alias("key")))
     if common is None:
-        return shared
+        return shared.withColumn("full", F.lit(True))
     hot = shared.where(F.col("n") > common)
-    held = hot.groupBy("id").agg(F.count(F.lit(1)).alias("hot")).join(rows.select("id", F.size("keys").alias("all")), "id").where(F.col("all") - F.col("hot") < others)
-    return shared.where(F.col("n") <= common).unionByName(hot.join(materialize(held.select("id")), "id", "left_semi"))
+    rarest = F.slice(F.array_sort(F.collect_list(F.struct("n", "key"))), 1, SPLITS)  # a row has a bounded number of keys
+    picked = hot.groupBy("id").agg(rarest.alias("hot")).select("id", F.explode("hot.key").alias("hot"))
+    items = materialize(picked.join(rows.select("id", split), "id").select("id", "hot", F.explode(split).alias("item")))
+    tallies = materialize(items.groupBy("hot", "item").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    within = materialize(items.join(tallies, ["hot", "item"]))
+    drop_table(items)
+    few = within.where(F.col("n") <= common).select(F.xxhash64("hot", "item").alias("key"), "n", "id")
+    alike = within.where(F.col("n") > common).groupBy("id", "hot").agg(F.xxhash64(F.lit(0), "hot", F.array_sort(F.collect_list("item"))).alias("key"))
+    alike = _counted(alike.select("id", "key"))
+    return shared.unionByName(few).unionByName(alike).withColumn("full", F.col("n") <= common)
 
 
 def ends_of(pairs: DataFrame) -> DataFrame:
@@ -32,42 +52,43 @@ def ends_of(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
 
 
-def linked_groups(rows: DataFrame, near: Column, verified: Callable[[DataFrame], DataFrame], *, common: int | None = None, others: int = 0, close: Column | None = None, block: int = BLOCK, drop: bool = False) -> DataFrame:
+def linked_groups(rows: DataFrame, near: Column, verified: Callable[[DataFrame], DataFrame], *, common: int | None = None, split: str | None = None, block: int = BLOCK, drop: bool = False) -> DataFrame:
     """(node, component) of the rows (id, keys, ...) that are linked to any: two rows are that share a key, for whose other columns (those of
     the second with b_ before their names) `near` holds, and whose pair (a, b) is among the edges (src, dst), a written table, that
     verified(pairs) returns.
 
     Each row is compared with the first row of each of its keys, and then only with rows of the key that are in other groups, so that no
     pairs within a group are written; a key of many rows is compared in pairs of blocks, so none lands whole in a task. With `common`, keys
-    of more rows than that count only for rows that have under `others` rarer ones. With `close`, a condition like `near`, rows that are not
-    the first of their key are compared only if it holds or if they share another key. With `drop`, the written table of rows is deleted
-    once it is read."""
-    seen = [c for c in rows.columns if c not in ("id", "keys")]
+    of more rows than that are split by the column `split`, see _shared(). With `drop`, the written table of rows is deleted once read."""
+    seen = [c for c in rows.columns if c not in ("id", "keys", split)]
     other = [F.col(c).alias(f"b_{c}") for c in seen]
-    met = materialize(_shared(rows, common, others).join(rows.select("id", *seen), "id"))
+    shared = _shared(rows, common, split)
+    met = materialize(shared.join(rows.select("id", *seen), "id"))
     leads = materialize(met.groupBy("key").agg(F.min("id").alias("b"), *[F.min_by(c, "id").alias(f"b_{c}") for c in seen]))
     if drop:
         drop_table(rows)
     star = materialize(met.join(leads, "key").where("id <> b").where(near).select(F.col("id").alias("a"), "b").distinct())
     edges = verified(star)
+    drop_table(star)
     groups = materialize(connected_components(edges))
 
     drop_table(leads)
-    own = materialize(met.where("n > 2").join(groups, F.col("id") == F.col("node"), "left").withColumn("own", F.coalesce("component", "id")).drop("node", "component"))
+    own = materialize(met.where("n > 2 and full").join(groups, F.col("id") == F.col("node"), "left").withColumn("own", F.coalesce("component", "id")).drop("node", "component"))
     drop_table(met)
     largest = own.groupBy("key", "own").agg(F.count(F.lit(1)).alias("size")).groupBy("key").agg(F.max_by("own", F.struct("size", "own")).alias("big"), F.count(F.lit(1)).alias("groups"))
     largest = materialize(largest.where("groups > 1").select("key", "big"))
-    split = own.join(largest, "key").withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn("at", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    split = materialize(split)
+    dealt_rows = own.join(largest, "key").withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn("at", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt_rows = materialize(dealt_rows)
     drop_table(own)
+    drop_table(largest)
     dealt = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = split.select("key", F.col("at").alias("i"), dealt.alias("j"), *seen, F.col("id").alias("a"), "own", "big")
-    right = split.where("own <> big").select("key", dealt.alias("i"), F.col("at").alias("j"), *other, F.col("id").alias("b"), F.col("own").alias("b_own"))
+    left = dealt_rows.select("key", F.col("at").alias("i"), dealt.alias("j"), *seen, F.col("id").alias("a"), "own", "big")
+    right = dealt_rows.where("own <> big").select("key", dealt.alias("i"), F.col("at").alias("j"), *other, F.col("id").alias("b"), F.col("own").alias("b_own"))
     cross = left.join(right, ["key", "i", "j"]).where("own <> b_own and (own = big or a < b)").where(near)
-    cross = cross.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.max(F.lit(True) if close is None else close).alias("close"))
-    cross = materialize(cross.where("close or shared > 1").select("a", "b"))
-    drop_table(split)
+    cross = materialize(cross.select("a", "b").distinct())
+    drop_table(dealt_rows)
     if cross.isEmpty():
         return groups
     more = verified(cross)
+    drop_table(cross)
     return groups if more.isEmpty() else connected_components(edges.unionByName(more))
