@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 from pyspark.sql.window import Window
 
 from tickflow.functions.registry import FEATURE_NAMES, finite, unpivoted
@@ -43,15 +47,71 @@ def psi(reference: DataFrame, live: DataFrame, bins: int = 10) -> DataFrame:
 
 
 def _kolmogorov(d: Column, n: Column) -> Column:
-    """The asymptotic p-value; exact small-sample laws are not in SQL."""
+    """The asymptotic p-value, for samples whose product of sizes is over EXACT."""
     lam = (F.sqrt(n) + 0.12 + 0.11 / F.sqrt(n)) * d
     total = sum((F.lit(2.0 * (-1) ** (k - 1)) * F.exp(-2.0 * k * k * lam * lam) for k in range(1, 101)), F.lit(0.0))
     return F.when(lam < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)))
 
 
+#: Up to this product of the two sample sizes the law of the KS distance is counted path by path.
+EXACT = 100_000
+
+
+def smirnov_tail(d: float, m: int, n: int) -> float:
+    """The probability that two samples of m and n values without ties, of one distribution, are at least d apart.
+
+    The order of the values is a lattice path from (0, 0) to (m, n), and all are equally likely; the share that stays within d is counted
+    column by column, scaled as it goes so that it stays a probability."""
+    if m < 1 or n < 1:
+        return 1.0
+    far = round(d * m * n)  # distances are whole numbers of 1 / (m * n)
+    if far <= 0:
+        return 1.0
+    inside = lambda i: np.abs(i * n - np.arange(n + 1) * m) < far
+    p = np.cumprod(inside(0).astype(float))  # the first column: straight on, as long as it stays within
+    # p[j] is the share, among the paths to (i, j), of those that stayed within
+    j = np.arange(n + 1)
+    for i in range(1, m + 1):
+        ok, out, last = inside(i), np.empty(n + 1), 0.0
+        come = i / (i + j)
+        part = come * p
+        for k in range(n + 1):
+            last = (part[k] + (1 - come[k]) * last) if ok[k] else 0.0
+            out[k] = last
+        p = out
+    return float(min(1.0, max(0.0, 1.0 - p[n])))
+
+
+@F.pandas_udf(DoubleType())
+def _smirnov(d: pd.Series, m: pd.Series, n: pd.Series) -> pd.Series:
+    return pd.Series([smirnov_tail(a, int(b), int(c)) for a, b, c in zip(d, m, n, strict=True)])
+
+
+def _gamma_tail(df: Column, x: Column) -> Column:
+    """The upper tail of the chi-square law for any whole number of degrees of freedom: Q(df/2, x/2), the regularised incomplete gamma
+    function, by its recurrence from Q(1, y) = exp(-y) or Q(1/2, y) = erfc(sqrt(y)); all terms are positive. Terms are logarithms until they
+    are added, so neither many degrees nor large statistics overflow."""
+    y, odd = x / 2, df % 2 == 1
+    begin = F.when(odd, 0.5).otherwise(1.0)
+    # log of y^a exp(-y) / gamma(a + 1) at the first a, then by y / (a + k) from term to term
+    first = F.when(odd, 0.5 * F.ln(y) - y - F.lit(math.log(math.gamma(1.5)))).otherwise(F.ln(y) - y)
+    steps = F.greatest(F.floor((df - 1) / 2).cast("int"), F.lit(0))
+    step = lambda s, k: F.struct((s["t"] + F.ln(y) - F.ln(begin + k)).alias("t"), (s["total"] + F.exp(s["t"])).alias("total"))
+    summed = F.aggregate(F.when(steps > 0, F.sequence(F.lit(1), steps)).otherwise(F.array().cast("array<int>")), F.struct(first.alias("t"), F.lit(0.0).alias("total")), step)
+    return F.when(x <= 0, 1.0).otherwise(F.least(F.lit(1.0), F.when(odd, _erfc(F.sqrt(y))).otherwise(F.exp(-y)) + summed["total"]))
+
+
+def _erfc(z: Column) -> Column:
+    """The complementary error function of z >= 0: a series of positive terms below 2.5, a continued fraction from there."""
+    terms = F.aggregate(F.sequence(F.lit(1), F.lit(60)), F.struct(z.alias("t"), z.alias("total")), lambda s, k: F.struct((s["t"] * 2 * z * z / (2 * k + 1)).alias("t"), (s["total"] + s["t"] * 2 * z * z / (2 * k + 1)).alias("total")))["total"]
+    series = 1 - 2 / math.sqrt(math.pi) * F.exp(-z * z) * terms
+    fraction = F.aggregate(F.sequence(F.lit(80), F.lit(1), F.lit(-1)), z.cast("double"), lambda v, k: z + (k / 2) / v)
+    return F.when(z < 2.5, series).otherwise(F.exp(-z * z) / (math.sqrt(math.pi) * fraction))
+
+
 def ks(reference: DataFrame, live: DataFrame, parts: int = 64) -> DataFrame:
     """(feature, ks, p_value, n_ref, n_live): the greatest distance between the two distribution functions, exactly; (0, 1) if a side is
-    empty. Equal values are counted together; running counts go over `parts` ranges of each feature's values, so a feature may be of any size."""
+    empty. The p-value is that of the exact law where the sizes' product is at most EXACT, else the asymptotic one. Equal values are counted together; running counts go over `parts` ranges of each feature's values, so a feature may be of any size."""
     rows = clean(reference).select("feature", "value", F.lit(1).alias("r"), F.lit(0).alias("o")).unionByName(clean(live).select("feature", "value", F.lit(0).alias("r"), F.lit(1).alias("o")))
     counts = rows.groupBy("feature", (F.col("value") + 0.0).alias("value")).agg(F.sum("r").alias("r"), F.sum("o").alias("o"))
     summed = running(ranged(counts, "feature", parts), ["feature"], "_b", ["value"], {"sr": "r", "so": "o"})
@@ -60,13 +120,16 @@ def ks(reference: DataFrame, live: DataFrame, parts: int = 64) -> DataFrame:
     out = summed.join(F.broadcast(totals), "feature").groupBy("feature").agg(F.coalesce(F.max(gap), F.lit(0.0)).alias("ks"), F.max("n_ref").alias("n_ref"), F.max("n_live").alias("n_live"))
     both = (F.col("n_ref") > 0) & (F.col("n_live") > 0)
     size = F.when(both, F.col("n_ref") * F.col("n_live") / F.nullif(F.col("n_ref") + F.col("n_live"), F.lit(0)))
-    return out.select("feature", "ks", F.when(both, _kolmogorov(F.col("ks"), size)).otherwise(1.0).alias("p_value"), "n_ref", "n_live")
+    small = both & (F.col("n_ref") * F.col("n_live") <= EXACT)
+    # a row per feature: the exact law only of those that are small, whose sizes are 0 otherwise
+    exact = _smirnov("ks", F.when(small, F.col("n_ref")).otherwise(0), F.when(small, F.col("n_live")).otherwise(0))
+    p = F.when(small, F.col("exact")).when(both, _kolmogorov(F.col("ks"), size)).otherwise(1.0)
+    return out.withColumn("exact", exact).select("feature", "ks", p.alias("p_value"), "n_ref", "n_live")
 
 
 def chi_square(reference: DataFrame, live: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """(keys, statistic, p_value, n_live) of (keys, category, n) counts: live against the reference's shares over the union of categories.
-    Expected counts are at least FLOOR, then scaled to the live total. Without counts on a side: 0 and 1. The p-value has a closed form
-    for an even number of degrees of freedom and the normal approximation of Wilson and Hilferty for an odd one."""
+    Expected counts are at least FLOOR, then scaled to the live total. Without counts on a side: 0 and 1."""
     rows = reference.select(*keys, "category", F.col("n").alias("r"), F.lit(0).alias("o")).unionByName(live.select(*keys, "category", F.lit(0).alias("r"), F.col("n").alias("o"))).groupBy(*keys, "category").agg(F.sum("r").alias("r"), F.sum("o").alias("o"))
     totals = rows.groupBy(*keys).agg(F.sum("r").alias("nr"), F.sum("o").alias("no"), F.collect_list(F.struct("r", "o")).alias("cells"))
     raw = lambda c: F.greatest(c["r"] * F.col("no") / F.nullif(F.col("nr"), F.lit(0)), F.lit(FLOOR))
@@ -74,11 +137,7 @@ def chi_square(reference: DataFrame, live: DataFrame, keys: Sequence[str] = ())
     out = totals.withColumn("scale", F.when((F.col("nr") > 0) & (F.col("no") > 0), scale))
     out = out.withColumn("statistic", F.aggregate("cells", F.lit(0.0), lambda a, c: a + (c["o"] - raw(c) * F.col("scale")) ** 2 / (raw(c) * F.col("scale")))).withColumn("df", F.size("cells") - 1)
     x = F.col("statistic")
-    half = F.floor(F.col("df") / 2).cast("int")
-    even = F.exp(-x / 2) * F.aggregate(F.sequence(F.lit(0), F.greatest(half - 1, F.lit(0))), F.lit(0.0), lambda a, k: a + (x / 2) ** k / F.factorial(F.least(k, F.lit(20))))
-    z = ((x / F.col("df")) ** (1 / 3) - (1 - 2 / (9 * F.col("df")))) / F.sqrt(2 / (9 * F.col("df")))
-    tail = 1 / (1 + F.exp(1.5976 * z + 0.07056 * z**3))
-    p = F.when(F.col("scale").isNull() | (F.col("df") < 1), 1.0).when((F.col("df") % 2 == 0) & (half <= 20), even).otherwise(tail)
+    p = F.when(F.col("scale").isNull() | (F.col("df") < 1), 1.0).otherwise(_gamma_tail(F.col("df"), x))
     return out.select(*keys, F.coalesce("statistic", F.lit(0.0)).alias("statistic"), p.alias("p_value"), F.col("no").alias("n_live"))
 
 
