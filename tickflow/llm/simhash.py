@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickflow.llm.common import batch, column, map_batches, materialize, read
+from tickflow.llm.common import batch, column, drop_table, map_batches, materialize, read
 from tickflow.llm.components import connected_components
 from tickflow.llm.linked import ends_of, linked_groups
 
@@ -176,8 +176,9 @@ def links(nodes: DataFrame, tau: int = TAU, *, length: int | None = None, block:
     ring = segments(tau)
     full = [sum(((1 << w) - 1) << a for a, w in (ring[(i + j) % (tau + 1)] for j in range(l + 1))) for i in range(tau + 1) for l in range(tau)]
     chains = [[np.uint64(m) for m in full[i * tau : (i + 1) * tau]] for i in range(tau + 1)]
-    keys = nodes.select("fp", "node", F.explode(F.array(*[F.struct(F.lit(k).alias("way"), _bits(F.col("fp"), ranges).alias("value")) for k, (_, ranges) in enumerate(ways)])).alias("key")).select("key.way", "key.value", "fp", "node")
-    shared = keys.groupBy("way", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    keys = nodes.select("fp", "node", F.explode(F.array(*[F.struct(F.lit(k).alias("way"), _bits(F.col("fp"), ranges).alias("value")) for k, (_, ranges) in enumerate(ways)])).alias("key"))
+    keys = materialize(keys.select("key.way", "key.value", "fp", "node"))  # both are written, so that they are made once and a hot key's rows can be split
+    shared = materialize(keys.groupBy("way", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     met = keys.join(shared, ["way", "value"]).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
     own = F.pmod(F.xxhash64("fp", "way"), F.col("blocks")).cast("int")
     met = met.withColumn("pair", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(own, j).alias("a"), F.greatest(own, j).alias("b")))))
@@ -214,7 +215,10 @@ def links(nodes: DataFrame, tau: int = TAU, *, length: int | None = None, block:
             columns[4] = columns[4].view(np.uint64)
             yield groups(columns, np.array([0, len(columns[0])]))
 
-    return met.repartition(*by).sortWithinPartitions(*by).mapInArrow(compare, "src long, dst long").distinct()
+    found = materialize(met.repartition(*by).sortWithinPartitions(*by).mapInArrow(compare, "src long, dst long").distinct())
+    drop_table(keys)
+    drop_table(shared)
+    return found
 
 
 def similar_texts(df: DataFrame, prints: DataFrame, nodes: DataFrame, similarity: float, size: int, id_col: str, text_col: str) -> DataFrame:
