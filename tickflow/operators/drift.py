@@ -14,8 +14,8 @@ from pyspark.sql.window import Window
 
 from tickflow.functions.registry import FEATURE_NAMES, finite, unpivoted
 from tickflow.functions.scalars import psi_severity, severity_rank
-from tickflow.operators.halo import running
-from tickflow.operators.quantiles import quantiles, ranged
+from tickflow.operators.quantiles import at_ranks, ordered
+from tickflow.sources.shared import materialize
 
 FLOOR = 1e-6
 
@@ -24,25 +24,43 @@ def clean(long: DataFrame) -> DataFrame:
     return long.where(finite(F.col("value")))
 
 
+def counted(long: DataFrame, in_reference: Column, in_live: Column, parts: int | None = None) -> DataFrame:
+    """What PSI and KS are read from, of (feature, value) rows that two conditions assign to the sides: a written table of each feature's
+    distinct values in order, (feature, value, r, o, sr, so, n_ref, n_live), with the sides' counts, running counts and totals. A row may
+    be of both sides; values that are null or not finite are of none. The rows are read once, and no task holds a whole feature."""
+    side = lambda c: F.coalesce(c, F.lit(False)).cast("long")
+    rows = clean(long).select("feature", (F.col("value") + 0.0).alias("value"), side(in_reference).alias("r"), side(in_live).alias("o")).where("r + o > 0")
+    rows = ordered(rows.groupBy("feature", "value").agg(F.sum("r").alias("r"), F.sum("o").alias("o")), "feature", {"sr": "r", "so": "o"}, parts)
+    totals = rows.groupBy("feature").agg(F.max("sr").alias("n_ref"), F.max("so").alias("n_live"))
+    return materialize(rows.join(F.broadcast(totals), "feature"))  # one row per feature
+
+
+def _sides(reference: DataFrame, live: DataFrame, parts: int | None = None) -> DataFrame:
+    both = reference.select("feature", "value", F.lit(True).alias("_ref")).unionByName(live.select("feature", "value", F.lit(False).alias("_ref")))
+    return counted(both, F.col("_ref"), ~F.col("_ref"), parts)
+
+
 def psi(reference: DataFrame, live: DataFrame, bins: int = 10) -> DataFrame:
     """(feature, psi, severity, n_live, evaluable) of (feature, value) rows.
 
     Bins are cut at the distinct quantiles of the reference, the outer ones open; shares are at least FLOOR. A side without values, or a
     reference of one value, gives 0 and is not evaluable."""
-    ref = clean(reference)
-    edges = quantiles(ref, [i / bins for i in range(bins + 1)]).select("feature", F.array_distinct("q").alias("edges"))
+    return psi_of(_sides(reference, live), bins)
+
+
+def psi_of(values: DataFrame, bins: int = 10) -> DataFrame:
+    """psi() of a table of counted()."""
+    values = values.where("n_ref > 0")
+    edges = at_ranks(values, [i / bins for i in range(bins + 1)], "feature", n="r", end="sr", total=F.col("n_ref")).select("feature", F.array_distinct("q").alias("edges"))
     inner = F.when(F.size("edges") > 2, F.slice("edges", F.lit(2), F.size("edges") - 2)).otherwise(F.array().cast("array<double>"))
     edges = edges.select("feature", F.size("edges").alias("k"), inner.alias("inner_edges"))
-    both = ref.select("feature", "value", F.lit(1).alias("r"), F.lit(0).alias("o")).unionByName(clean(live).select("feature", "value", F.lit(0).alias("r"), F.lit(1).alias("o")))
-    binned = both.join(F.broadcast(edges), "feature")  # one row per feature
-    counts = binned.groupBy("feature", F.size(F.filter("inner_edges", lambda e: e <= F.col("value"))).alias("bin")).agg(F.sum("r").alias("r"), F.sum("o").alias("o"))
-    sums = counts.groupBy("feature").agg(F.sum("r").alias("n_ref"), F.sum("o").alias("n_live"))
-    grid = edges.select("feature", "k", F.explode(F.sequence(F.lit(0), F.greatest(F.col("k") - 2, F.lit(0)))).alias("bin"))
-    grid = grid.join(sums, "feature").join(counts, ["feature", "bin"], "left")
-    share = lambda c, n: F.greatest(F.coalesce(F.col(c), F.lit(0)) / F.nullif(F.col(n), F.lit(0)), F.lit(FLOOR))
+    binned = values.join(F.broadcast(edges), "feature")  # one row per feature
+    counts = binned.groupBy("feature", F.size(F.filter("inner_edges", lambda e: e <= F.col("value"))).alias("bin")).agg(F.sum("r").alias("r"), F.sum("o").alias("o"), F.max("n_ref").alias("n_ref"), F.max("n_live").alias("n_live"), F.max("k").alias("k"))
+    # a row per feature and bin from here on; bins without values have the least share on both sides, and add nothing
+    share = lambda c, n: F.greatest(F.col(c) / F.nullif(F.col(n), F.lit(0)), F.lit(FLOOR))
     o, r = share("o", "n_live"), share("r", "n_ref")
     ok = (F.col("k") >= 2) & (F.col("n_live") > 0)
-    out = grid.groupBy("feature").agg(F.sum(F.when(ok, (o - r) * F.ln(o / r)).otherwise(0.0)).alias("psi"), F.max("n_live").alias("n_live"), F.bool_and(ok).alias("evaluable"))
+    out = counts.groupBy("feature").agg(F.sum(F.when(ok, (o - r) * F.ln(o / r)).otherwise(0.0)).alias("psi"), F.max("n_live").alias("n_live"), F.bool_and(ok).alias("evaluable"))
     return out.select("feature", "psi", psi_severity(F.col("psi")).alias("severity"), "n_live", "evaluable")
 
 
@@ -109,15 +127,17 @@ def _erfc(z: Column) -> Column:
     return F.when(z < 2.5, series).otherwise(F.exp(-z * z) / (math.sqrt(math.pi) * fraction))
 
 
-def ks(reference: DataFrame, live: DataFrame, parts: int = 64) -> DataFrame:
+def ks(reference: DataFrame, live: DataFrame, parts: int | None = None) -> DataFrame:
     """(feature, ks, p_value, n_ref, n_live): the greatest distance between the two distribution functions, exactly; (0, 1) if a side is
-    empty. The p-value is that of the exact law where the sizes' product is at most EXACT, else the asymptotic one. Equal values are counted together; running counts go over `parts` ranges of each feature's values, so a feature may be of any size."""
-    rows = clean(reference).select("feature", "value", F.lit(1).alias("r"), F.lit(0).alias("o")).unionByName(clean(live).select("feature", "value", F.lit(0).alias("r"), F.lit(1).alias("o")))
-    counts = rows.groupBy("feature", (F.col("value") + 0.0).alias("value")).agg(F.sum("r").alias("r"), F.sum("o").alias("o"))
-    summed = running(ranged(counts, "feature", parts), ["feature"], "_b", ["value"], {"sr": "r", "so": "o"})
-    totals = counts.groupBy("feature").agg(F.sum("r").alias("n_ref"), F.sum("o").alias("n_live"))
+    empty. The p-value is that of the exact law where the sizes' product is at most EXACT, else the asymptotic one. Running counts go over `parts` ranges of
+    values, by default as many as the shuffle's partitions."""
+    return ks_of(_sides(reference, live, parts))
+
+
+def ks_of(values: DataFrame) -> DataFrame:
+    """ks() of a table of counted()."""
     gap = F.abs(F.col("sr") / F.nullif(F.col("n_ref"), F.lit(0)) - F.col("so") / F.nullif(F.col("n_live"), F.lit(0)))
-    out = summed.join(F.broadcast(totals), "feature").groupBy("feature").agg(F.coalesce(F.max(gap), F.lit(0.0)).alias("ks"), F.max("n_ref").alias("n_ref"), F.max("n_live").alias("n_live"))
+    out = values.groupBy("feature").agg(F.coalesce(F.max(gap), F.lit(0.0)).alias("ks"), F.max("n_ref").alias("n_ref"), F.max("n_live").alias("n_live"))
     both = (F.col("n_ref") > 0) & (F.col("n_live") > 0)
     size = F.when(both, F.col("n_ref") * F.col("n_live") / F.nullif(F.col("n_ref") + F.col("n_live"), F.lit(0)))
     small = both & (F.col("n_ref") * F.col("n_live") <= EXACT)
@@ -192,7 +212,8 @@ def drift_run(live: DataFrame, reference: tuple[str, DataFrame] | None, now_us:
     ref = reference_samples(stats.where("mean is not null"), draws, seed)
     rows = live.where((F.col("t") >= start) & (F.col("t") < now_us) & ~F.col("insufficient_history"))
     rows = unpivoted(rows, (), FEATURE_NAMES).join(F.broadcast(stats.select("feature")), "feature", "left_semi")  # one row per feature
-    return metric_rows(psi(ref, rows), ks(ref, rows), start, now_us, now_us, version)
+    values = _sides(ref, rows)
+    return metric_rows(psi_of(values), ks_of(values), start, now_us, now_us, version)
 
 
 def newest_per_window(rows: DataFrame) -> DataFrame:

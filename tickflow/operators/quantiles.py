@@ -2,29 +2,40 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickflow.operators.halo import running
+from tickflow.sources.shared import materialize
 
 
-def ranged(counts: DataFrame, key: str, parts: int = 64) -> DataFrame:
-    """counts with `_b`, the range of its key's values that `value` lies in; ranges hold about equally many rows."""
-    cuts = counts.groupBy(key).agg(F.percentile_approx("value", [i / parts for i in range(1, parts)]).alias("cuts"))
-    return counts.join(F.broadcast(cuts), key).withColumn("_b", F.size(F.filter("cuts", lambda c: c <= F.col("value")))).drop("cuts")  # one row per feature
+def ordered(counts: DataFrame, key: str, sums: Mapping[str, str], parts: int | None = None) -> DataFrame:
+    """counts of distinct (key, value) with inclusive running sums {name: column} in the order of value. They are sorted into ranges and
+    written once; the ranges are `parts`, or as many as the shuffle's partitions, and hold about equally many values."""
+    sizes = () if parts is None else (parts,)
+    table = materialize(counts.repartitionByRange(*sizes, key, "value").withColumn("_b", F.spark_partition_id()))
+    return running(table, [key], "_b", ["value"], dict(sums)).drop("_b")
+
+
+def at_ranks(rows: DataFrame, fractions: Sequence[float], key: str, *, n: str, end: str, total: Column) -> DataFrame:
+    """(key, q array<double>) of distinct values with their counts `n` and inclusive running counts `end`. A value that counts none is at no
+    rank; a key without values has no row."""
+    rows = rows.where(F.col(n) > 0)
+    at = [(total - 1) * F.lit(float(p)) for p in fractions]
+    holds = lambda rank: (F.col(end) - F.col(n) <= rank) & (rank < F.col(end))
+    pick = lambda rank, name: F.max(F.when(holds(rank), F.col("value"))).alias(name)
+    part = lambda a, i: F.max(a - F.floor(a)).alias(f"part{i}")
+    ends = rows.groupBy(key).agg(*[pick(F.floor(a), f"lo{i}") for i, a in enumerate(at)], *[pick(F.ceil(a), f"hi{i}") for i, a in enumerate(at)], *[part(a, i) for i, a in enumerate(at)])
+    between = [F.when(F.col(f"lo{i}") == F.col(f"hi{i}"), F.col(f"lo{i}")).otherwise((1 - F.col(f"part{i}")) * F.col(f"lo{i}") + F.col(f"part{i}") * F.col(f"hi{i}")) for i in range(len(at))]
+    return ends.select(key, F.array(*between).alias("q"))
 
 
 def quantiles(long: DataFrame, fractions: Sequence[float], key: str = "feature") -> DataFrame:
     """(key, q array<double>): the quantiles of (key, value), linearly interpolated between the two nearest ranks. Null values are left
     out; a key without values has no row. No task holds a whole key."""
     counts = long.where("value is not null").groupBy(key, (F.col("value") + 0.0).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    upto = running(ranged(counts, key), [key], "_b", ["value"], {"end": "n"})
-    rows = upto.join(F.broadcast(counts.groupBy(key).agg(F.sum("n").alias("total"))), key)
-    at = [(F.col("total") - 1) * F.lit(float(p)) for p in fractions]
-    holds = lambda rank: (F.col("end") - F.col("n") <= rank) & (rank < F.col("end"))
-    pick = lambda rank, name: F.max(F.when(holds(rank), F.col("value"))).alias(name)
-    ends = rows.groupBy(key).agg(F.max("total").alias("total"), *[pick(F.floor(a), f"lo{i}") for i, a in enumerate(at)], *[pick(F.ceil(a), f"hi{i}") for i, a in enumerate(at)])
-    between = [F.when(F.col(f"lo{i}") == F.col(f"hi{i}"), F.col(f"lo{i}")).otherwise((F.ceil(a) - a) * F.col(f"lo{i}") + (a - F.floor(a)) * F.col(f"hi{i}")) for i, a in enumerate(at)]
-    return ends.select(key, F.array(*between).alias("q"))
+    rows = ordered(counts, key, {"end": "n"})
+    totals = rows.groupBy(key).agg(F.max("end").alias("total"))
+    return at_ranks(rows.join(F.broadcast(totals), key), fractions, key, n="n", end="end", total=F.col("total"))  # one row per feature

@@ -65,27 +65,31 @@ def _values(spark, sf_dir):
 
 
 def _halves(spark, sf_dir):
-    long = _values(spark, sf_dir)
-    return long.where(F.col("t") < MIDDLE_US), long.where(F.col("t") >= MIDDLE_US)
+    f = features(spark, sf_dir).where(~F.col("insufficient_history"))
+    long = unpivoted(f, ["t"], ("price", "volume", *FEATURE_NAMES))
+    return drift.counted(long, F.col("t") < MIDDLE_US, F.col("t") >= MIDDLE_US)
 
 
 def psi_by_feature(spark, sf_dir):
-    return rounded(drift.psi(*_halves(spark, sf_dir)))
+    return rounded(drift.psi_of(_halves(spark, sf_dir)))
 
 
 def ks_by_feature(spark, sf_dir):
-    return rounded(drift.ks(*_halves(spark, sf_dir)).select("feature", "ks", "n_ref", "n_live"))
+    return rounded(drift.ks_of(_halves(spark, sf_dir)).select("feature", "ks", "n_ref", "n_live"))
+
+
+def _flags(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_returnflag", "l_quantity", "l_extendedprice", "l_discount").unpivot(["l_returnflag"], ["l_quantity", "l_extendedprice", "l_discount"], "feature", "value")
+    return drift.counted(rows, F.col("l_returnflag") == "R", F.col("l_returnflag") == "N")
 
 
 def psi_lineitem(spark, sf_dir):
     """Drift of prices, quantities and discounts between two return flags, at the scale of lineitem."""
-    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_returnflag", "l_quantity", "l_extendedprice", "l_discount").unpivot(["l_returnflag"], ["l_quantity", "l_extendedprice", "l_discount"], "feature", "value")
-    return rounded(drift.psi(rows.where("l_returnflag = 'R'"), rows.where("l_returnflag = 'N'")))
+    return rounded(drift.psi_of(_flags(spark, sf_dir)))
 
 
 def ks_lineitem(spark, sf_dir):
-    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_returnflag", "l_quantity", "l_extendedprice", "l_discount").unpivot(["l_returnflag"], ["l_quantity", "l_extendedprice", "l_discount"], "feature", "value")
-    return rounded(drift.ks(rows.where("l_returnflag = 'R'"), rows.where("l_returnflag = 'N'")).select("feature", "ks", "n_ref", "n_live"))
+    return rounded(drift.ks_of(_flags(spark, sf_dir)).select("feature", "ks", "n_ref", "n_live"))
 
 
 def chi2_class_mix(spark, sf_dir):
@@ -101,7 +105,9 @@ def _drift_runs(spark, sf_dir):
     named = F.concat("feature", F.lit("@"), F.col("window_end").cast("string"))
     ref = long.where(F.col("t") < MIDDLE_US).withColumn("window_end", F.explode(F.array(*[F.lit(w) for w in WINDOWS])))
     live = scans.in_range(long, MIDDLE_US, WINDOWS[-1]).withColumn("window_end", end)
-    rows = drift.metric_rows(*[f(ref.select(named.alias("feature"), "value"), live.select(named.alias("feature"), "value")) for f in (drift.psi, drift.ks)], 0, 0, NOW_US, "1")
+    both = ref.select(named.alias("feature"), "value", F.lit(True).alias("ref")).unionByName(live.select(named.alias("feature"), "value", F.lit(False).alias("ref")))
+    values = drift.counted(both, F.col("ref"), ~F.col("ref"))
+    rows = drift.metric_rows(drift.psi_of(values), drift.ks_of(values), 0, 0, NOW_US, "1")
     w = F.split_part("feature", F.lit("@"), F.lit(2)).cast("long")
     return rows.withColumns({"window_start": w - WEEK, "window_end": w, "feature": F.split_part("feature", F.lit("@"), F.lit(1))})
 
