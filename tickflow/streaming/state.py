@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from tickflow.functions.scalars import DAY_US, HOUR_US, micros
 from tickflow.operators.features import GAP_US, HISTORY_US, compute_features, versioned
@@ -53,9 +53,9 @@ class TickWindow(StatefulProcessor):
             self.handle.deleteTimer(timer)
         self.handle.registerTimer(arrived_ms + self.idle_us // 1000)
 
-    def handleInitialState(self, key: tuple, initial: pd.DataFrame, timers) -> None:
+    def handleInitialState(self, key: tuple, initialState: pd.DataFrame, timerValues: TimerValues) -> None:
         """Warm-up: the stored ticks of a symbol, before its first batch."""
-        rows = initial.dropna(subset=["t"]).drop_duplicates("t").sort_values("t")
+        rows = initialState.dropna(subset=["t"]).drop_duplicates("t").sort_values("t")
         if not len(rows):
             return
         newest = int(rows["t"].iloc[-1])
@@ -64,7 +64,7 @@ class TickWindow(StatefulProcessor):
         known = int(self.newest.get()[0]) if self.newest.exists() else newest
         self.newest.update((max(known, newest),))
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         came = pd.concat(list(rows)).sort_values(["t", "message_id"], kind="stable")
         held = self._load()
         t = came["t"].to_numpy()
@@ -93,7 +93,7 @@ class TickWindow(StatefulProcessor):
                 out = pd.concat((out, pd.DataFrame(near).assign(message_id=None, fate="known")))
         yield out.assign(symbol=key[0])[["symbol", "t", "price", "volume", "message_id", "fate"]]
 
-    def handleExpiredTimer(self, key: tuple, timers, expired) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.ticks.clear()
         self.newest.clear()
         return iter(())
