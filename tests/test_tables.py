@@ -98,6 +98,33 @@ def test_backfill_converges(spark, tmp_path):
         stream.backfill(spark, str(tmp_path), 0, 1, version=2)
 
 
+def test_backfill_by_days_goes_on_where_it_was_killed(spark, tmp_path):
+    root, hours = str(tmp_path), 6
+    rows = spark.createDataFrame([("X", 100 * DAY_US + k * DAY_US // hours, 1.0 + k, 1.0, str(k)) for k in range(5 * hours)], "symbol string, t long, price double, volume double, message_id string")
+    put = lambda df: sinks.insert_if_absent(sinks.with_month(df), f"{root}/ticks", sinks.TICK_KEYS, partition="month")
+    day = lambda k: (100 + k) * DAY_US
+    put(rows)
+
+    def killed(lo, hi):
+        if lo == day(1):
+            raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        stream.backfill_days(spark, root, day(0), day(5), after_chunk=killed)
+    assert spark.read.parquet(f"{root}/features").count() == 2 * hours
+    half = day(4) + DAY_US // 2
+    assert stream.backfill_days(spark, root, day(0), half) == [(day(2), day(3)), (day(3), day(4)), (day(4), half)]
+    assert spark.read.parquet(f"{root}/features").count() == 4 * hours + hours // 2
+    # the day that was done in part is not noted, the others are
+    assert stream.backfill_days(spark, root, day(0), day(5), days=3) == [(day(4), day(5))]
+    assert stream.backfill_days(spark, root, day(0), day(5)) == []
+    # ticks that come later open the days of their month again; what is stored stays
+    put(rows.where("message_id = '7'").withColumns({"t": F.col("t") + MINUTE_US, "message_id": F.lit("late")}))
+    assert stream.backfill_days(spark, root, day(0), day(5), days=3) == [(day(0), day(3)), (day(3), day(5))]
+    whole = spark.read.parquet(f"{root}/features")
+    assert whole.count() == 5 * hours + 1 and whole.select("symbol", "t").distinct().count() == 5 * hours + 1
+
+
 def test_replay_of_a_batch_with_dead_letters(spark, tmp_path):
     rows = ingest.decode(spark.createDataFrame([(_message(k, f"2024-01-01T00:{k:02d}:00Z"),) for k in range(9)] + [("junk",)], "value string"))
     for _ in range(2):

@@ -26,14 +26,14 @@ def stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
 
 def has_rows(spark: SparkSession, path: str) -> bool:
     """Whether anything is committed at path; what is written aside does not count."""
-    return bool(_folders(spark, f"{path}/[!_.]*"))
+    return bool(folders(spark, f"{path}/[!_.]*"))
 
 
 class Conflict(RuntimeError):
     """Other writers were first, again and again."""
 
 
-def _folders(spark: SparkSession, pattern: str) -> list[str]:
+def folders(spark: SparkSession, pattern: str) -> list[str]:
     p = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     return [str(f.getPath()) for f in p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or []]
 
@@ -43,8 +43,13 @@ def _delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def commit_of(folder: str) -> int:
+    """The number of the commit that a folder is, or is part of."""
+    return int(folder.rpartition("commit=")[2].partition("/")[0])
+
+
 def _next_commit(spark: SparkSession, path: str) -> int:
-    return max((int(f.rpartition("commit=")[2]) for f in _folders(spark, f"{path}/commit=*")), default=0) + 1
+    return max((commit_of(f) for f in folders(spark, f"{path}/commit=*")), default=0) + 1
 
 
 def _publish(spark: SparkSession, staged: str, target: str) -> bool:
@@ -65,7 +70,7 @@ def new_rows(rows: DataFrame, table: DataFrame, keys: Sequence[Sequence[str]]) -
     """The rows of which no key is in the table, one per key: the first by all their columns."""
     for key in keys:
         rest = [c for c in rows.columns if c not in key]
-        w = Window.partitionBy(*key).orderBy(*rest)
+        w = Window.partitionBy(*key).orderBy(*(rest or key))
         rows = rows.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k").join(table.select(*key), list(key), "left_anti").select(*rows.columns)
     return rows
 
@@ -96,7 +101,7 @@ def insert_if_absent(rows: DataFrame, path: str, keys: Sequence[Sequence[str]],
         staged = f"{path}/_staging/{uuid.uuid4().hex}"
         writer = new_rows(rows, table, keys).write
         (writer.partitionBy(partition) if partition else writer).parquet(staged)
-        some = bool(_folders(spark, f"{staged}/{partition}=*")) if partition else not spark.read.schema(rows.schema).parquet(staged).isEmpty()
+        some = bool(folders(spark, f"{staged}/{partition}=*")) if partition else not spark.read.schema(rows.schema).parquet(staged).isEmpty()
         if not some and (number > 1 or partition):
             _delete(spark, staged)
             return False
@@ -137,7 +142,7 @@ def upsert_stored(rows: DataFrame, path: str, keys: Sequence[str], newest: str,
     The changed partitions are written aside first and then swapped in by an overwrite of just these. What a job that died in between left
     aside is complete, and is swapped in by the next call before anything else. One writer at a time."""
     spark = rows.sparkSession
-    for left in sorted(_folders(spark, f"{path}/_redo/*")):
+    for left in sorted(folders(spark, f"{path}/_redo/*")):
         if exists(spark, f"{left}/_SUCCESS"):
             _swap(spark, left, path, rows, partition)
         _delete(spark, left)
@@ -189,6 +194,6 @@ def archive_month(spark: SparkSession, path: str, archive: str, audit: str, mont
     row = spark.createDataFrame([(table, month, rows, target, str(checksum))], "table string, month string, rows long, location string, checksum string")
     row.write.mode("append").parquet(audit)
     if drop:
-        for folder in _folders(spark, f"{path}/month={month}") + _folders(spark, f"{path}/commit=*/month={month}"):
+        for folder in folders(spark, f"{path}/month={month}") + folders(spark, f"{path}/commit=*/month={month}"):
             _delete(spark, folder)
     return row

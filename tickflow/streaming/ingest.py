@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickflow.functions.scalars import micros
+from tickflow.functions.registry import FEATURE_SET_VERSION
+from tickflow.functions.scalars import DAY_US, micros
 from tickflow.operators.features import GAP_US, HISTORY_US, compute_features, versioned
 from tickflow.sources.ingest import decode, split_valid
-from tickflow.sources.sinks import FEATURE_KEYS, TICK_KEYS, in_partitions, insert_if_absent, months_between, new_rows, partitions_of, stored, with_month
+from tickflow.sources.sinks import FEATURE_KEYS, TICK_KEYS, commit_of, folders, in_partitions, insert_if_absent, months_between, new_rows, partitions_of, stored, with_month
 
 
 def _ticks(valid: DataFrame) -> DataFrame:
@@ -84,8 +85,6 @@ def rate_stream(decoded: DataFrame, step: str = "1 hour", lateness: str = "1 hou
 
 def backfill(spark: SparkSession, root: str, start_us: int, end_us: int, *, version: int | None = None, gap_us: int = GAP_US) -> None:
     """Features of the stored ticks of [start, end) that have none yet, each with the past it needs; running it again changes nothing."""
-    from tickflow.functions.registry import FEATURE_SET_VERSION
-
     if version not in (None, FEATURE_SET_VERSION):
         raise ValueError(f"features are computed as version {FEATURE_SET_VERSION}")
     lo = start_us - HISTORY_US
@@ -94,6 +93,44 @@ def backfill(spark: SparkSession, root: str, start_us: int, end_us: int, *, vers
     insert_if_absent(rows, f"{root}/features", FEATURE_KEYS, partition="month")
 
 
+def _last_commit(spark: SparkSession, path: str, month: str) -> int:
+    """The newest commit that brought ticks of the month; 0 where there is none."""
+    return max((commit_of(f) for f in folders(spark, f"{path}/commit=*/month={month}")), default=0)
+
+
+def backfill_days(spark: SparkSession, root: str, start_us: int, end_us: int, *, version: int | None = None, gap_us: int = GAP_US, days: int = 1, after_chunk: Callable[[int, int], None] | None = None) -> list[tuple[int, int]]:
+    """backfill() in chunks of whole days (UTC), each of which is noted below root/backfilled once its features are stored; returns the
+    chunks that were computed. A run that was killed is taken up where it ended: days that are noted are skipped, without reading their
+    ticks or features. A day is noted with the newest commit of its month's ticks, so it is looked at again once ticks have been stored in
+    that month since. Days that [start, end) holds in part are computed, but not noted. after_chunk(start, end) is called after each."""
+    ledger = f"{root}/backfilled"
+    like = spark.createDataFrame([], "day long, version int, ticks_commit long")
+    which = FEATURE_SET_VERSION if version is None else version
+    noted = {r["day"]: r["commit"] for r in stored(spark, ledger, like).where(F.col("version") == which).groupBy("day").agg(F.max("ticks_commit").alias("commit")).collect()}  # one number a day
+    newest: dict[str, int] = {}
+    todo: list[tuple[int, int]] = []
+    for day in range(start_us // DAY_US, -(-end_us // DAY_US)):
+        month = months_between(day * DAY_US, (day + 1) * DAY_US)[0]
+        if month not in newest:
+            newest[month] = _last_commit(spark, f"{root}/ticks", month)
+        if noted.get(day, -1) < newest[month]:
+            todo.append((day, newest[month]))
+    done = []
+    while todo:
+        # days in a row, at most `days` of them
+        chunk = [d for i, d in enumerate(todo[:days]) if d[0] == todo[0][0] + i]
+        todo = todo[len(chunk) :]
+        lo, hi = max(start_us, chunk[0][0] * DAY_US), min(end_us, (chunk[-1][0] + 1) * DAY_US)
+        backfill(spark, root, lo, hi, version=version, gap_us=gap_us)
+        whole = [(day, which, commit) for day, commit in chunk if start_us <= day * DAY_US and (day + 1) * DAY_US <= end_us]
+        if whole:
+            insert_if_absent(spark.createDataFrame(whole, like.schema), ledger, (("day", "version", "ticks_commit"),))
+        done.append((lo, hi))
+        if after_chunk:
+            after_chunk(lo, hi)
+    return done
+
+
 def seed(rows: DataFrame, root: str, *, gap_us: int = GAP_US) -> None:
     """Historical rows (symbol, t, price, volume, message_id): stored if new, with features for those that are."""
     spark = rows.sparkSession
