@@ -117,3 +117,13 @@ def test_attribution_rests_and_prunes(spark, tmp_path):
     assert state() == {(0, 0): "resolved", (0, 2): "no_future"}
     assert [r.n for r in run(2 * month + 2 * h, reach_us=3 * DAY_US)] == [2] and state()[(2, 0)] == "resolved"
     assert {r.month for r in spark.read.parquet(f"{tmp_path}/o").collect()} == {"1970-01", "1970-03"}
+
+
+def test_months_whatever_the_sessions_zone(spark):
+    rows = spark.createDataFrame([(0,), (31 * 86_400_000_000 - 1,), (31 * 86_400_000_000,), (-1,)], "t long")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert [r.month for r in sinks.with_month(rows).collect()] == ["1970-01", "1970-01", "1970-02", "1969-12"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -132,7 +132,7 @@ def _evaluations(spark, sf_dir):
     rows = ticks(spark, sf_dir)
     hourly = rows.groupBy("symbol", floor_to(F.col("t"), HOUR_US).alias("t")).agg(F.avg("price").alias("m"))
     whole = rows.groupBy("symbol").agg(F.avg("price").alias("w"))
-    return hourly.join(F.broadcast(whole), "symbol").select(F.col("symbol").alias("dedup_key"), "t", (F.col("m") > F.col("w")).alias("breached"))
+    return hourly.join(whole, "symbol").select(F.col("symbol").alias("dedup_key"), "t", (F.col("m") > F.col("w")).alias("breached"))
 
 
 def alert_decisions(spark, sf_dir):
@@ -143,6 +143,14 @@ def alert_open_state(spark, sf_dir):
     return alerts.open_state(alerts.decisions(_evaluations(spark, sf_dir), SUSTAINED, SUPPRESSION_US))
 
 
+def alert_record(spark, sf_dir):
+    """The state after one more run, in which the keys of an even number of letters breach and one has no evidence."""
+    rows = _evaluations(spark, sf_dir)
+    opened = alerts.open_state(alerts.decisions(rows, SUSTAINED, SUPPRESSION_US)).select("dedup_key", F.col("consecutive_breaches").alias("consecutive"), "first_breached", "fired")
+    keys = rows.select("dedup_key").distinct()
+    return alerts.record(opened, keys.where(F.length("dedup_key") % 2 == 0), keys.where("dedup_key <> 'error'"), NOW_US, sustained=SUSTAINED, suppression_us=SUPPRESSION_US)
+
+
 def rule_drift(spark, sf_dir):
     return alerts.drift_rule(correlated_breach(spark, sf_dir).where(F.col("window_end") == WINDOWS[-1]))
 
@@ -193,7 +201,7 @@ def pipeline_summary(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (check_freshness, check_completeness, check_validity, check_distribution, quality_gate, quality_latest_status, psi_by_feature, ks_by_feature, psi_lineitem, ks_lineitem, chi2_class_mix, drift_severity_timeline, psi_heatmap, correlated_breach, drift_latest_window, alert_decisions, alert_open_state, rule_drift, rule_accuracy, rule_prediction_mix, panel_system_health, panel_ingestion_rate, panel_completeness, panel_null_rate, symbols_summary, pipeline_summary)
+    for f in (check_freshness, check_completeness, check_validity, check_distribution, quality_gate, quality_latest_status, psi_by_feature, ks_by_feature, psi_lineitem, ks_lineitem, chi2_class_mix, drift_severity_timeline, psi_heatmap, correlated_breach, drift_latest_window, alert_decisions, alert_open_state, alert_record, rule_drift, rule_accuracy, rule_prediction_mix, panel_system_health, panel_ingestion_rate, panel_completeness, panel_null_rate, symbols_summary, pipeline_summary)
 }
 
 _SYM = "sym AS (SELECT DISTINCT symbol FROM ticks)"
@@ -274,6 +282,13 @@ SQL = {
     "correlated_breach": f"{_RUNS}, {_BREACH} SELECT window_end, n, features FROM breach",
     "drift_latest_window": f"{_RUNS} SELECT feature, round(psi, 6) + 0.0 AS value, severity, n_live AS sample_size, window_end FROM run WHERE window_end = {WINDOWS[-1]}",
     "alert_decisions": f"WITH RECURSIVE {TICKS_SQL}, {EVAL_SQL} SELECT dedup_key, t, breached, action, k::BIGINT AS consecutive FROM st",
+    "alert_record": f"""{_STATE}, x AS (
+  SELECT k.dedup_key, o.dedup_key IS NOT NULL AS is_open, len(k.dedup_key) % 2 = 0 AS b, o.consecutive_breaches AS c, o.first_breached AS since, o.fired AS f
+  FROM (SELECT DISTINCT dedup_key FROM st) k LEFT JOIN (SELECT * FROM opened WHERE breached) o ON k.dedup_key = o.dedup_key WHERE k.dedup_key <> 'error'
+), y AS (SELECT *, CASE WHEN b THEN coalesce(c, 0) + 1 ELSE 0 END AS n FROM x), z AS (
+  SELECT *, CASE WHEN NOT b THEN CASE WHEN is_open THEN 'resolve' ELSE 'none' END WHEN n < {SUSTAINED} THEN 'accumulate' WHEN f IS NULL OR {NOW_US} - f >= {SUPPRESSION_US} THEN 'fire' ELSE 'suppress' END AS action FROM y
+) SELECT dedup_key, action, CASE WHEN action = 'resolve' THEN 'resolved' WHEN f IS NOT NULL OR action = 'fire' THEN 'firing' WHEN b THEN 'pending' END AS status, n::BIGINT AS consecutive,
+  CASE WHEN b THEN coalesce(since, {NOW_US}) ELSE since END AS first_breached, CASE WHEN f IS NOT NULL THEN f WHEN action = 'fire' THEN {NOW_US} END AS fired, CASE WHEN action = 'resolve' THEN {NOW_US} END AS resolved FROM z""",
     "alert_open_state": f"{_STATE} SELECT dedup_key, status, consecutive_breaches, first_breached, fired, updated FROM opened WHERE breached",
     "rule_drift": f"{_RUNS}, {_BREACH} SELECT 'feature_drift' AS alert_name, 'feature_drift' AS dedup_key, features AS details FROM breach WHERE window_end = {WINDOWS[-1]}",
     "rule_accuracy": f"WITH {M.PRED_SQL}, s AS (SELECT model_version, count(*) AS n, avg((actual = predicted)::INT::DOUBLE) AS a FROM done GROUP BY model_version) SELECT 'model_accuracy_degraded' AS alert_name, 'model_accuracy_degraded:' || model_version AS dedup_key, format('{{:.4f}}', a) AS details FROM s WHERE n >= 50 AND a < 0.9 ORDER BY a, model_version LIMIT 1",

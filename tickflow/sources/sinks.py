@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tickflow.functions.scalars import DAY_US
+
 TICK_KEYS = (("symbol", "t"), ("message_id", "t"))
 FEATURE_KEYS = (("symbol", "t", "feature_set_version"),)
 PREDICTION_KEYS = (("symbol", "t", "model_version"),)
@@ -115,7 +117,7 @@ def insert_if_absent(rows: DataFrame, path: str, keys: Sequence[Sequence[str]],
 
 def with_month(rows: DataFrame, time: str = "t", name: str = "month") -> DataFrame:
     """rows with the calendar month (UTC) of a time in microseconds, as yyyy-MM: the partition of stored ticks and features."""
-    return rows.withColumn(name, F.date_format(F.timestamp_micros(time), "yyyy-MM"))
+    return rows.withColumn(name, F.date_format(F.date_from_unix_date(F.floor(F.col(time) / DAY_US).cast("int")), "yyyy-MM"))  # a date, so the session's zone is of no matter
 
 
 def months_between(start_us: int, end_us: int) -> list[str]:
