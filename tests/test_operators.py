@@ -261,3 +261,18 @@ def test_resolution_boundary(spark):
     assert [r.t for r in attribution.unresolved(p, none, now, h).collect()] == [now - h]
     assert attribution.pending(p, none, now, h).first()["pending"] == 1
     assert attribution.unresolved(p, p, now, h).count() == 0
+
+
+def test_forward_look_ups_do_not_follow_density(spark):
+    """Each row meets the next point only: as many entries are written as there are rows, whatever the points lie in a tolerance; rows of
+    one time, keys that are null and several predictions of one time are kept."""
+    n = 3000
+    ticks = spark.range(n).select(F.lit("X").alias("symbol"), (F.col("id") * 10).alias("t"), F.col("id").cast("double").alias("price"))
+    ticks = ticks.unionByName(spark.createDataFrame([("X", 10, 0.5), (None, 10, 7.0)], "symbol string, t long, price double"))
+    out = forward_join(ticks.withColumn("at", F.col("t") + 5), ticks, "at", "price", 1_000_000)
+    assert out.count() == n + 2
+    assert {(r.symbol, r.t, r.price): r.future for r in out.where("t < 20").collect()} == {("X", 0, 0.0): 0.5, ("X", 10, 1.0): 2.0, ("X", 10, 0.5): 2.0, (None, 10, 7.0): None}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan  # an equi-join on buckets made 3,000 x 3,000 rows here
+    own = {(r.symbol, r.t, r.price): r.future_t for r in forward_self(ticks, "price", 5, 1_000_000).collect()}
+    assert len(own) == n + 2 and own["X", 0, 0.0] == 10 and own["X", (n - 1) * 10, n - 1.0] is None and own[None, 10, 7.0] is None

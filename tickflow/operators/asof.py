@@ -1,38 +1,62 @@
-"""As-of joins without nested loops: range frames in chunks of time, or equi-joins on buckets of time."""
+"""As-of joins without nested loops: running frames in chunks of time."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 from pyspark.sql.window import Window
 
 from tickflow.functions.scalars import DAY_US
-from tickflow.operators.halo import by_chunk, chunked
+
+
+def _entries(df: DataFrame, *entries: Column) -> DataFrame:
+    """(_k, chunk, _t, _p, _q) of each row's points and questions, so that rows that are both are read once."""
+    return df.select(F.explode(F.concat(*entries)).alias("_e")).select("_e.*")
+
+
+def _points(df: DataFrame, key: str, time: str, value: str, tolerance_us: int, size_us: int, question: DataType) -> Column:
+    """A row's point, once for each chunk that may look as far as it; a row without a key or time has none."""
+    t = F.col(time)
+    entry = lambda c: F.struct(F.col(key).alias("_k"), c.alias("chunk"), t.alias("_t"), F.struct(t.alias("_t"), F.col(value).alias("_v")).alias("_p"), F.lit(None).cast(question).alias("_q"))
+    chunks = F.when(F.col(key).isNotNull() & t.isNotNull(), F.sequence(F.floor((t - tolerance_us) / size_us), F.floor(t / size_us)))
+    return F.transform(F.coalesce(chunks, F.array().cast("array<bigint>")), entry)
+
+
+def _question(df: DataFrame, key: str, target: Column, size_us: int, point: DataType) -> Column:
+    return F.array(F.struct(F.col(key).alias("_k"), F.floor(target / size_us).alias("chunk"), target.alias("_t"), F.lit(None).cast(point).alias("_p"), F.struct(*df.columns).alias("_q")))
+
+
+def _next_points(rows: DataFrame, tolerance_us: int, time: str, name: str) -> DataFrame:
+    """The questions' rows with their points. A key's entries are walked from the latest on, and each question takes the point that was
+    passed last: no row meets more than the next one, however densely the points lie."""
+    # of points at one time the least comes last, and all of them before the questions of that time
+    w = Window.partitionBy("_k", "chunk").orderBy(F.desc("_t"), F.col("_q").isNotNull(), F.desc("_p")).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_x", F.last("_p", ignorenulls=True).over(w)).where("_q is not null")
+    found = lambda c: F.when(F.col("_k").isNotNull() & (F.col("_x._t") <= F.col("_t") + tolerance_us), F.col(f"_x.{c}"))
+    return rows.select("_q.*", found("_v").alias(name), found("_t").alias(f"{name}_{time}"))
+
+
+def _types(left: DataFrame, right: DataFrame, time: str, value: str) -> tuple[DataType, DataType]:
+    return right.select(F.struct(F.col(time).alias("_t"), F.col(value).alias("_v")).alias("x")).schema["x"].dataType, left.select(F.struct(*left.columns).alias("x")).schema["x"].dataType
 
 
 def forward_self(df: DataFrame, value: str, horizon_us: int, tolerance_us: int, *, key: str = "symbol", time: str = "t", name: str = "future") -> DataFrame:
-    """df with the value and time of the key's first row in [time + horizon, time + horizon + tolerance], both ends included; else null."""
-    rows = chunked(df, 0, horizon_us + tolerance_us, time=time, size_us=max(DAY_US, horizon_us + tolerance_us))
-    ahead = by_chunk(key, time=time).rangeBetween(horizon_us, horizon_us + tolerance_us)
-    out = rows.select("*", F.first(value).over(ahead).alias(name), F.first(time).over(ahead).alias(f"{name}_{time}"))
-    return out.where("own").drop("own", "chunk")
+    """df with the value and time of the key's first row in [time + horizon, time + horizon + tolerance], both ends included; else null.
+    Of several rows at that time, the least value."""
+    size, (point, question) = max(DAY_US, tolerance_us), _types(df, df, time, value)
+    rows = _entries(df, _points(df, key, time, value, tolerance_us, size, question), _question(df, key, F.col(time) + horizon_us, size, point))
+    return _next_points(rows, tolerance_us, time, name)
 
 
 def forward_join(left: DataFrame, right: DataFrame, target: str, value: str, tolerance_us: int, *, key: str = "symbol", time: str = "t", name: str = "future") -> DataFrame:
-    """left with the value and time of right's earliest row of the key in [target, target + tolerance], both ends included; else null.
-
-    Time is cut into buckets as long as the tolerance, so a target meets rows of two buckets at most: an equi-join. Each key and target is
-    looked up once, whatever left has of it."""
-    step = tolerance_us + 1
-    points = right.select(F.col(key).alias("_k"), F.col(time).alias("_t"), F.col(value).alias("_v"), F.floor(F.col(time) / step).alias("_b"))
-    asked = left.select(F.col(key).alias("_k"), F.col(target).alias("_at")).distinct()
-    probe = asked.withColumn("_b", F.explode(F.array(F.floor(F.col("_at") / step), F.floor(F.col("_at") / step) + 1)))
-    hits = probe.join(points, ["_k", "_b"]).where((F.col("_t") >= F.col("_at")) & (F.col("_t") <= F.col("_at") + tolerance_us))
-    best = hits.groupBy("_k", "_at").agg(F.min(F.struct("_t", "_v")).alias("_x"))
-    rows = left.join(best, (F.col(key) == F.col("_k")) & (F.col(target) == F.col("_at")), "left")
-    return rows.select(*left.columns, F.col("_x._v").alias(name), F.col("_x._t").alias(f"{name}_{time}"))
+    """left with the value and time of right's earliest row of the key in [target, target + tolerance], both ends included; else null. Of
+    several rows at that time, the least value."""
+    size, (point, question) = max(DAY_US, tolerance_us), _types(left, right, time, value)
+    rows = _entries(right, _points(right, key, time, value, tolerance_us, size, question)).unionByName(_entries(left, _question(left, key, F.col(target), size, point)))
+    return _next_points(rows, tolerance_us, time, name)
 
 
 def backward_last(history: DataFrame, queries: DataFrame, value: str, *, time: str = "t", order: Sequence[str] = (), keys: Sequence[str] = (), bucket_us: int = DAY_US, name: str = "last") -> DataFrame:
