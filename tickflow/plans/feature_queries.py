@@ -75,11 +75,11 @@ def history_arrays_explode(spark, sf_dir):
 
 
 def _group(names):
-    return lambda spark, sf_dir: rounded(features(spark, sf_dir).select("symbol", "t", *names))
+    return lambda spark, sf_dir: rounded(features(spark, sf_dir, names).select("symbol", "t", *names))
 
 
 def feat_flags(spark, sf_dir):
-    return features(spark, sf_dir).select("symbol", "t", "insufficient_history", "has_gap")
+    return features(spark, sf_dir, ()).select("symbol", "t", "insufficient_history", "has_gap")
 
 
 def feature_vector(spark, sf_dir):
@@ -98,7 +98,7 @@ def feature_rows_range(spark, sf_dir):
 
 
 def features_join_price(spark, sf_dir):
-    left = features(spark, sf_dir).drop("price", "volume")
+    left = features(spark, sf_dir, ("ma_60m",)).drop("price", "volume")
     return rounded(left.join(ticks(spark, sf_dir).select("symbol", "t", "price"), ["symbol", "t"]).select("symbol", "t", "price", "ma_60m", "insufficient_history", "has_gap"))
 
 
