@@ -608,6 +608,22 @@ def test_links_do_not_depend_on_how_many_lines_share_a_key(spark, monkeypatch):
     assert got[0] <= got[1] and len(got[1]) >= 0.97 * len(pairs)
 
 
+def test_a_hot_key_loses_no_pair(spark, monkeypatch):
+    """Lines of one opening and six words out of twelve, of which pairs differ in the second and fourth: they share neither a rare word nor
+    a rare run, nor the same frequent words, and are linked all the same."""
+    monkeypatch.setattr(lines, "COMMON", 8)
+    rng = np.random.default_rng(9)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 8))
+    opening, few, texts = [word() for _ in range(12)], [word() for _ in range(12)], []
+    for _ in range(200):
+        one = list(rng.permutation(few)[:8])
+        texts += [" ".join(opening + one[:6]), " ".join([*opening, one[0], one[6], one[2], one[7], *one[4:6]])]
+    group = {r.doc_id: r.group_doc_id for r in lines.line_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    near = {frozenset(p) for p in similar_lines(dict(enumerate(texts)))}
+    pairs = [k for k in range(0, 400, 2) if frozenset(texts[k : k + 2]) in near]
+    assert len(pairs) > 150 and sum(group[k] == group[k + 1] for k in pairs) >= 0.97 * len(pairs)
+
+
 def test_simhash_of_a_sample(spark):
     rng = np.random.default_rng(0)
     rows = [(k, [int(x) for x in np.sort(rng.integers(-(2**63), 2**63 - 1, n))]) for k, n in enumerate([*range(lines.SAMPLE + 1)] * 2)]
