@@ -676,6 +676,32 @@ def test_similar_lines_are_found(spark, share, letters, least):
     assert all(r.group_doc_id // 2 == r.doc_id // 2 for r in rows) and min(shares) >= least, shares
 
 
+def test_texts_meet_only_for_pairs_that_share_words(spark):
+    """Marks of the words lose no pair that shares half of them, and long texts of all other pairs are not sent about."""
+    words = {k: [f"w{(k * 31 + i * i) % 5000 if i > 20 else i}x{'y' * 20}" for i in range(100)] for k in range(120)}
+    words |= {k + 120: [*words[k][:90], *"abcdefghij"] for k in range(20)}
+    texts = spark.createDataFrame(list(words.items()), "id long, words array<string>")
+    pairs = spark.createDataFrame([(a, b) for a in words for b in words if a < b], "a long, b long")
+    share = {(a, b) for a in words for b in words if a < b and 2 * len({*words[a]} & {*words[b]}) >= min(len({*words[a]}), len({*words[b]}))}
+    left = {tuple(r) for r in lines._sharing(pairs, lines._marked(texts)).collect()}
+    assert share <= left and len(left) < len(share) + 100 < len(words) ** 2 // 4
+
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def written():
+        stages = store.stageList(spark._jvm.java.util.ArrayList(), False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), spark._jvm.java.util.ArrayList())
+        return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteBytes() for i in range(stages.size())}
+
+    before = written()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        edges = {tuple(r) for r in lines._verified(common.materialize(pairs), texts, 0.8).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {(k, k + 120) for k in range(20)} <= edges <= share
+    assert sum(n for k, n in written().items() if k not in before) < 400 * pairs.count()  # a text has over 2,000 characters
+
+
 def test_lines_that_differ_in_digits(spark):
     texts = ["12 34 56 78 90", "98 76 54 32 11", "Item 1234567 of 7654321 sold for 8888888", "Item 9876543 of 1234567 sold for 1111111", "The shop on the corner sold 12 apples", "The shop on the corner sold 35 apples"]
     rows = lines.line_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
