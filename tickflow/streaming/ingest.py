@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickflow.functions.registry import FEATURE_SET_VERSION
 from tickflow.functions.scalars import DAY_US, micros
-from tickflow.operators.features import GAP_US, HISTORY_US, compute_features, versioned
+from tickflow.operators.features import GAP_US, HISTORY_ROWS, HISTORY_US, compute_features, versioned
 from tickflow.sources.ingest import decode, split_valid
 from tickflow.sources.sinks import FEATURE_KEYS, TICK_KEYS, commit_of, folders, in_partitions, insert_if_absent, months_between, new_rows, partitions_of, stored, with_month
 
@@ -20,18 +20,18 @@ def _ticks(valid: DataFrame) -> DataFrame:
     return with_month(valid.select("symbol", micros("observed_at").alias("t"), F.col("price").cast("double").alias("price"), F.col("volume").cast("double").alias("volume"), "message_id"))
 
 
-def features_of(keys: DataFrame, ticks: DataFrame, *, gap_us: int = GAP_US) -> DataFrame:
+def features_of(keys: DataFrame, ticks: DataFrame, *, gap_us: int = GAP_US, history_rows: int | None = HISTORY_ROWS) -> DataFrame:
     """Feature rows of the ticks whose (symbol, t) are in keys, from stored ticks: the past that their windows need is read with them, so a
     restart needs no warm-up."""
     bounds = keys.agg(F.min("t"), F.max("t")).first()
     if bounds[0] is None:
-        return compute_features(ticks.where("false"), gap_us=gap_us)
+        return compute_features(ticks.where("false"), gap_us=gap_us, history_rows=history_rows)
     lo, hi = bounds[0] - HISTORY_US, bounds[1] + 1
     near = ticks.where(F.col("month").isin(months_between(lo, hi)) & (F.col("t") >= lo) & (F.col("t") < hi)).join(keys.select("symbol").distinct(), "symbol", "left_semi")
-    return compute_features(near, gap_us=gap_us).join(keys.select("symbol", "t"), ["symbol", "t"], "left_semi")
+    return compute_features(near, gap_us=gap_us, history_rows=history_rows).join(keys.select("symbol", "t"), ["symbol", "t"], "left_semi")
 
 
-def process(batch: DataFrame, root: str, *, batch_id: int = 0, gap_us: int = GAP_US, expire_us: int | None = None, now_us: int | None = None) -> None:
+def process(batch: DataFrame, root: str, *, batch_id: int = 0, gap_us: int = GAP_US, history_rows: int | None = HISTORY_ROWS, expire_us: int | None = None, now_us: int | None = None) -> None:
     """One micro-batch of decoded messages: dead letters, ticks and features below root. Dead letters are written over those of the same
     batch_id, and the other sinks compare with what they hold, so a batch that is run again after a failure, between the sinks or
     elsewhere, ends in the same tables. Late ticks get their own features from what precedes them; features that are already stored stay.
@@ -49,7 +49,7 @@ def process(batch: DataFrame, root: str, *, batch_id: int = 0, gap_us: int = GAP
     kept = in_partitions(ticks, "month", months).join(rows.select("symbol", "t", "message_id").distinct(), ["symbol", "t", "message_id"], "left_semi").select("symbol", "t")
     table = in_partitions(stored(spark, f"{root}/features", with_month(versioned(compute_features(ticks.where("false"))))), "month", months)
     todo = kept.join(table.select("symbol", "t"), ["symbol", "t"], "left_anti").persist()
-    fresh = with_month(versioned(features_of(todo, ticks, gap_us=gap_us)))
+    fresh = with_month(versioned(features_of(todo, ticks, gap_us=gap_us, history_rows=history_rows)))
     insert_if_absent(fresh, f"{root}/features", FEATURE_KEYS, partition="month")
     todo.unpersist()
     batch.unpersist()
@@ -59,12 +59,12 @@ def clock_us() -> int:
     return time.time_ns() // 1000
 
 
-def ingest(messages: DataFrame, root: str, *, gap_us: int = GAP_US, expire_us: int | None = None, available_now: bool = True, clock: Callable[[], int] = clock_us) -> StreamingQuery:
+def ingest(messages: DataFrame, root: str, *, gap_us: int = GAP_US, history_rows: int | None = HISTORY_ROWS, expire_us: int | None = None, available_now: bool = True, clock: Callable[[], int] = clock_us) -> StreamingQuery:
     """A query over a stream with a column `value` of JSON envelopes. With expire_us, messages that were emitted longer than that before
     their batch begins, by `clock` in microseconds, are dead letters."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        process(batch, root, batch_id=batch_id, gap_us=gap_us, expire_us=expire_us, now_us=clock())
+        process(batch, root, batch_id=batch_id, gap_us=gap_us, history_rows=history_rows, expire_us=expire_us, now_us=clock())
 
     writer = decode(messages).writeStream.foreachBatch(run).option("checkpointLocation", f"{root}/checkpoint")
     return (writer.trigger(availableNow=True) if available_now else writer).start()
@@ -83,13 +83,13 @@ def rate_stream(decoded: DataFrame, step: str = "1 hour", lateness: str = "1 hou
     return rows.groupBy("symbol", F.window("observed_at", step)).agg(F.count(F.lit(1)).alias("n"))
 
 
-def backfill(spark: SparkSession, root: str, start_us: int, end_us: int, *, version: int | None = None, gap_us: int = GAP_US) -> None:
+def backfill(spark: SparkSession, root: str, start_us: int, end_us: int, *, version: int | None = None, gap_us: int = GAP_US, history_rows: int | None = HISTORY_ROWS) -> None:
     """Features of the stored ticks of [start, end) that have none yet, each with the past it needs; running it again changes nothing."""
     if version not in (None, FEATURE_SET_VERSION):
         raise ValueError(f"features are computed as version {FEATURE_SET_VERSION}")
     lo = start_us - HISTORY_US
     ticks = spark.read.parquet(f"{root}/ticks").where(F.col("month").isin(months_between(lo, end_us)) & (F.col("t") >= lo) & (F.col("t") < end_us))
-    rows = with_month(versioned(compute_features(ticks, gap_us=gap_us).where(F.col("t") >= start_us)))
+    rows = with_month(versioned(compute_features(ticks, gap_us=gap_us, history_rows=history_rows).where(F.col("t") >= start_us)))
     insert_if_absent(rows, f"{root}/features", FEATURE_KEYS, partition="month")
 
 
@@ -98,7 +98,7 @@ def _last_commit(spark: SparkSession, path: str, month: str) -> int:
     return max((commit_of(f) for f in folders(spark, f"{path}/commit=*/month={month}")), default=0)
 
 
-def backfill_days(spark: SparkSession, root: str, start_us: int, end_us: int, *, version: int | None = None, gap_us: int = GAP_US, days: int = 1, after_chunk: Callable[[int, int], None] | None = None) -> list[tuple[int, int]]:
+def backfill_days(spark: SparkSession, root: str, start_us: int, end_us: int, *, version: int | None = None, gap_us: int = GAP_US, history_rows: int | None = HISTORY_ROWS, days: int = 1, after_chunk: Callable[[int, int], None] | None = None) -> list[tuple[int, int]]:
     """backfill() in chunks of whole days (UTC), each of which is noted below root/backfilled once its features are stored; returns the
     chunks that were computed. A run that was killed is taken up where it ended: days that are noted are skipped, without reading their
     ticks or features. A day is noted with the newest commit of its month's ticks, so it is looked at again once ticks have been stored in
@@ -121,7 +121,7 @@ def backfill_days(spark: SparkSession, root: str, start_us: int, end_us: int, *,
         chunk = [d for i, d in enumerate(todo[:days]) if d[0] == todo[0][0] + i]
         todo = todo[len(chunk) :]
         lo, hi = max(start_us, chunk[0][0] * DAY_US), min(end_us, (chunk[-1][0] + 1) * DAY_US)
-        backfill(spark, root, lo, hi, version=version, gap_us=gap_us)
+        backfill(spark, root, lo, hi, version=version, gap_us=gap_us, history_rows=history_rows)
         whole = [(day, which, commit) for day, commit in chunk if start_us <= day * DAY_US and (day + 1) * DAY_US <= end_us]
         if whole:
             insert_if_absent(spark.createDataFrame(whole, like.schema), ledger, (("day", "version", "ticks_commit"),))
@@ -131,7 +131,7 @@ def backfill_days(spark: SparkSession, root: str, start_us: int, end_us: int, *,
     return done
 
 
-def seed(rows: DataFrame, root: str, *, gap_us: int = GAP_US) -> None:
+def seed(rows: DataFrame, root: str, *, gap_us: int = GAP_US, history_rows: int | None = HISTORY_ROWS) -> None:
     """Historical rows (symbol, t, price, volume, message_id): stored if new, with features for those that are."""
     spark = rows.sparkSession
     rows = with_month(rows.select("symbol", "t", "price", "volume", "message_id"))
@@ -139,5 +139,5 @@ def seed(rows: DataFrame, root: str, *, gap_us: int = GAP_US) -> None:
     fresh.count()
     insert_if_absent(rows, f"{root}/ticks", TICK_KEYS, partition="month")
     table = spark.read.parquet(f"{root}/ticks")
-    insert_if_absent(with_month(versioned(features_of(fresh, table, gap_us=gap_us))), f"{root}/features", FEATURE_KEYS, partition="month")
+    insert_if_absent(with_month(versioned(features_of(fresh, table, gap_us=gap_us, history_rows=history_rows))), f"{root}/features", FEATURE_KEYS, partition="month")
     fresh.unpersist()

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from tickflow.functions.scalars import DAY_US, HOUR_US, micros
-from tickflow.operators.features import GAP_US, HISTORY_US, compute_features, versioned
+from tickflow.operators.features import GAP_US, HISTORY_ROWS, HISTORY_US, compute_features, versioned
 from tickflow.sources.ingest import decode
 from tickflow.sources.sinks import FEATURE_KEYS, TICK_KEYS, insert_if_absent, months_between, with_month
 
@@ -121,7 +121,7 @@ def recent(spark: SparkSession, root: str, end_us: int, *, history_us: int = HIS
     return spark.read.parquet(f"{root}/ticks").where(F.col("month").isin(months_between(lo, end_us)) & (F.col("t") >= lo) & (F.col("t") < end_us)).select("symbol", "t", "price", "volume")
 
 
-def ingest_windowed(messages: DataFrame, root: str, *, initial: DataFrame | None = None, gap_us: int = GAP_US, history_us: int = HISTORY_US, lateness_us: int = LATENESS_US, available_now: bool = True) -> StreamingQuery:
+def ingest_windowed(messages: DataFrame, root: str, *, initial: DataFrame | None = None, gap_us: int = GAP_US, history_us: int = HISTORY_US, history_rows: int | None = HISTORY_ROWS, lateness_us: int = LATENESS_US, available_now: bool = True) -> StreamingQuery:
     """A query over JSON envelopes (value) that stores ticks, dead letters, and the features of each new tick below root.
 
     Features come from the batch and the keyed state alone: stored ticks are only compared with for their keys. A tick too late for the
@@ -138,7 +138,7 @@ def ingest_windowed(messages: DataFrame, root: str, *, initial: DataFrame | None
         fresh = batch.where("fate = 'new'")
         insert_if_absent(with_month(batch.where("fate in ('new', 'late')").select("symbol", "t", "price", "volume", "message_id")), f"{root}/ticks", TICK_KEYS, partition="month")
         seen = batch.where("fate in ('new', 'known')").select("symbol", "t", "price", "volume")
-        made = compute_features(seen, gap_us=gap_us, history_us=history_us).join(fresh.select("symbol", "t"), ["symbol", "t"], "left_semi")
+        made = compute_features(seen, gap_us=gap_us, history_us=history_us, history_rows=history_rows).join(fresh.select("symbol", "t"), ["symbol", "t"], "left_semi")
         insert_if_absent(with_month(versioned(made)), f"{root}/features", FEATURE_KEYS, partition="month")
         batch.unpersist()
 
