@@ -37,7 +37,7 @@ def derive_theta(rows: DataFrame, quantile: float = 0.4) -> float:
     """The exact quantile, linearly interpolated, of the absolute returns of all symbols."""
     if not 0 < quantile < 1:
         raise ValueError("the quantile lies between 0 and 1")
-    row = quantiles(rows.select(F.lit("ret").alias("feature"), F.abs("ret").alias("value")), [quantile]).first()
+    row = quantiles(materialize(rows.select(F.lit("ret").alias("feature"), F.abs("ret").alias("value"))), [quantile]).first()
     if row is None:
         raise InsufficientData("no returns to derive theta from")
     return float(row["q"][0])
@@ -105,7 +105,8 @@ def class_weights(rows: DataFrame) -> DataFrame:
 
 def feature_stats(rows: DataFrame, names: Sequence[str] = FEATURE_NAMES) -> DataFrame:
     """(feature, mean, std, min, max, p50) of each feature, the population's std; a feature without values has no row."""
-    long = unpivoted(rows.select(*names), (), names).where(finite(F.col("value")))
+    rows = materialize(rows.select(*[F.col(n).cast("double").alias(n) for n in names]))
+    long = unpivoted(rows, (), names).where(finite(F.col("value")))
     out = long.groupBy("feature").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
-    return out.join(quantiles(long, [0.5]).select("feature", F.get("q", F.lit(0)).alias("p50")), "feature")
+    return out.join(quantiles(rows, [0.5], names=names).select("feature", F.get("q", F.lit(0)).alias("p50")), "feature")
 

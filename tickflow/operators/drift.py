@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 from tickflow.functions.registry import FEATURE_NAMES, finite, unpivoted
 from tickflow.functions.scalars import psi_severity, severity_rank
-from tickflow.operators.quantiles import at_ranks, ordered
+from tickflow.operators.quantiles import at_ranks, ordered, thinned
 from tickflow.sources.shared import materialize
 
 FLOOR = 1e-6
@@ -24,20 +24,27 @@ def clean(long: DataFrame) -> DataFrame:
     return long.where(finite(F.col("value")))
 
 
-def counted(long: DataFrame, in_reference: Column, in_live: Column, parts: int | None = None) -> DataFrame:
-    """What PSI and KS are read from, of (feature, value) rows that two conditions assign to the sides: a written table of each feature's
-    distinct values in order, (feature, value, r, o, sr, so, n_ref, n_live), with the sides' counts, running counts and totals. A row may
-    be of both sides; values that are null or not finite are of none. The rows are read once, and no task holds a whole feature."""
+def counted(long: DataFrame, in_reference: Column, in_live: Column, parts: int | None = None, bins: int = 10, names: Sequence[str] = ()) -> DataFrame:
+    """What PSI of so many bins and KS are read from, of (feature, value) rows that two conditions assign to the sides: a written table of
+    each feature's values in order, (feature, value, r, o, sr, so, n_ref, n_live), with the sides' counts, running counts and totals; values
+    that decide neither a bin's edge nor the KS distance are counted together. A row may be of both sides; values that are null or not
+    finite are of none. names: the columns that hold values, where rows are not in long form; a feature is then the column's name followed by
+    the row's `feature`. The rows are read three times, so they should be stored; no task holds a whole feature."""
     side = lambda c: F.coalesce(c, F.lit(False)).cast("long")
-    rows = clean(long).select("feature", (F.col("value") + 0.0).alias("value"), side(in_reference).alias("r"), side(in_live).alias("o")).where("r + o > 0")
-    rows = ordered(rows.groupBy("feature", "value").agg(F.sum("r").alias("r"), F.sum("o").alias("o")), "feature", {"sr": "r", "so": "o"}, parts)
+    values = names or [(F.col("value") + 0.0).alias("value")]
+    rows = (long if names else clean(long)).select("feature", *values, side(in_reference).alias("r"), side(in_live).alias("o")).where("r + o > 0")
+    rows = ordered(thinned(rows, "feature", _shares(bins), distance=True, names=names), "feature", {"sr": "r", "so": "o"}, parts)
     totals = rows.groupBy("feature").agg(F.max("sr").alias("n_ref"), F.max("so").alias("n_live"))
     return materialize(rows.join(F.broadcast(totals), "feature"))  # one row per feature
 
 
-def _sides(reference: DataFrame, live: DataFrame, parts: int | None = None) -> DataFrame:
+def _shares(bins: int) -> list[float]:
+    return [i / bins for i in range(bins + 1)]
+
+
+def _sides(reference: DataFrame, live: DataFrame, parts: int | None = None, bins: int = 10) -> DataFrame:
     both = reference.select("feature", "value", F.lit(True).alias("_ref")).unionByName(live.select("feature", "value", F.lit(False).alias("_ref")))
-    return counted(both, F.col("_ref"), ~F.col("_ref"), parts)
+    return counted(materialize(both), F.col("_ref"), ~F.col("_ref"), parts, bins)
 
 
 def psi(reference: DataFrame, live: DataFrame, bins: int = 10) -> DataFrame:
@@ -45,13 +52,13 @@ def psi(reference: DataFrame, live: DataFrame, bins: int = 10) -> DataFrame:
 
     Bins are cut at the distinct quantiles of the reference, the outer ones open; shares are at least FLOOR. A side without values, or a
     reference of one value, gives 0 and is not evaluable."""
-    return psi_of(_sides(reference, live), bins)
+    return psi_of(_sides(reference, live, bins=bins), bins)
 
 
 def psi_of(values: DataFrame, bins: int = 10) -> DataFrame:
-    """psi() of a table of counted()."""
+    """psi() of a table of counted(), which is made for as many bins."""
     values = values.where("n_ref > 0")
-    edges = at_ranks(values, [i / bins for i in range(bins + 1)], "feature", n="r", end="sr", total=F.col("n_ref")).select("feature", F.array_distinct("q").alias("edges"))
+    edges = at_ranks(values, _shares(bins), "feature", n="r", end="sr", total=F.col("n_ref")).select("feature", F.array_distinct("q").alias("edges"))
     inner = F.when(F.size("edges") > 2, F.slice("edges", F.lit(2), F.size("edges") - 2)).otherwise(F.array().cast("array<double>"))
     edges = edges.select("feature", F.size("edges").alias("k"), inner.alias("inner_edges"))
     binned = values.join(F.broadcast(edges), "feature")  # one row per feature

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickflow.functions.registry import FEATURE_NAMES, unpivoted
+from tickflow.functions.registry import FEATURE_NAMES
 from tickflow.functions.scalars import DAY_US, HOUR_US, MINUTE_US, floor_to
 from tickflow.operators import alerts, attribution, drift, panels, quality, scans
 from tickflow.plans import model_queries as M
@@ -58,16 +58,16 @@ def quality_latest_status(spark, sf_dir):
     return quality.latest_status(_audit(spark, sf_dir))
 
 
+VALUES = ("price", "volume", *FEATURE_NAMES)
+
+
 def _values(spark, sf_dir):
-    """The features in long form, computed once for all that reads them."""
-    f = features(spark, sf_dir).where(~F.col("insufficient_history"))
-    return unpivoted(materialize(f), ["t"], ("price", "volume", *FEATURE_NAMES))
+    """The features, computed once for all that reads them."""
+    return materialize(features(spark, sf_dir).where(~F.col("insufficient_history")).select("t", *VALUES))
 
 
 def _halves(spark, sf_dir):
-    f = features(spark, sf_dir).where(~F.col("insufficient_history"))
-    long = unpivoted(f, ["t"], ("price", "volume", *FEATURE_NAMES))
-    return drift.counted(long, F.col("t") < MIDDLE_US, F.col("t") >= MIDDLE_US)
+    return drift.counted(_values(spark, sf_dir).withColumn("feature", F.lit("")), F.col("t") < MIDDLE_US, F.col("t") >= MIDDLE_US, names=VALUES)
 
 
 def psi_by_feature(spark, sf_dir):
@@ -100,13 +100,13 @@ def chi2_class_mix(spark, sf_dir):
 
 def _drift_runs(spark, sf_dir):
     """PSI and KS rows of three live windows of five days against the first fifteen days, in one job: the window joins the feature's name."""
-    long = _values(spark, sf_dir)
+    rows = _values(spark, sf_dir)
     end = F.floor((F.col("t") - MIDDLE_US) / WEEK) * WEEK + MIDDLE_US + WEEK
-    named = F.concat("feature", F.lit("@"), F.col("window_end").cast("string"))
-    ref = long.where(F.col("t") < MIDDLE_US).withColumn("window_end", F.explode(F.array(*[F.lit(w) for w in WINDOWS])))
-    live = scans.in_range(long, MIDDLE_US, WINDOWS[-1]).withColumn("window_end", end)
-    both = ref.select(named.alias("feature"), "value", F.lit(True).alias("ref")).unionByName(live.select(named.alias("feature"), "value", F.lit(False).alias("ref")))
-    values = drift.counted(both, F.col("ref"), ~F.col("ref"))
+    named = F.concat(F.lit("@"), F.col("window_end").cast("string")).alias("feature")
+    ref = rows.where(F.col("t") < MIDDLE_US).withColumn("window_end", F.explode(F.array(*[F.lit(w) for w in WINDOWS])))
+    live = scans.in_range(rows, MIDDLE_US, WINDOWS[-1]).withColumn("window_end", end)
+    both = ref.select(named, *VALUES, F.lit(True).alias("ref")).unionByName(live.select(named, *VALUES, F.lit(False).alias("ref")))
+    values = drift.counted(both, F.col("ref"), ~F.col("ref"), names=VALUES)
     rows = drift.metric_rows(drift.psi_of(values), drift.ks_of(values), 0, 0, NOW_US, "1")
     w = F.split_part("feature", F.lit("@"), F.lit(2)).cast("long")
     return rows.withColumns({"window_start": w - WEEK, "window_end": w, "feature": F.split_part("feature", F.lit("@"), F.lit(1))})
