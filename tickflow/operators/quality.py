@@ -45,17 +45,13 @@ def validity(symbols: DataFrame, raw: DataFrame, features: DataFrame, *, order:
     return rows.select("symbol", (F.col("non_positive") + F.col("non_monotonic") + F.col("null_features") == 0).alias("passed"), "non_positive", "non_monotonic", "null_features", F.concat_ws(",", *told).alias("issues"))
 
 
-def feature_means(features: DataFrame) -> DataFrame:
-    """(symbol, feature, mean) over rows of sufficient history; nulls are left out, and a feature without values has no row."""
-    long = unpivoted(features.where("not insufficient_history").select("symbol", *FEATURE_NAMES), ["symbol"])
-    return long.where(finite(F.col("value"))).groupBy("symbol", "feature").agg(F.avg("value").alias("mean"))
-
-
 def distribution(symbols: DataFrame, features: DataFrame, now_us: int, window_us: int, reference_us: int, most: float = 0.5) -> DataFrame:
     """(symbol, passed, shifted, features): features whose mean moved by over `most` of the reference mean; zero or missing ones do not."""
-    live = feature_means(features.where((F.col("t") >= now_us - window_us) & (F.col("t") < now_us)))
-    past = feature_means(features.where((F.col("t") >= now_us - window_us - reference_us) & (F.col("t") < now_us - window_us))).withColumnRenamed("mean", "reference")
-    moved = live.join(past, ["symbol", "feature"]).where("reference <> 0").where(F.abs((F.col("mean") - F.col("reference")) / F.nullif(F.col("reference"), F.lit(0.0))) > most)
+    start = now_us - window_us
+    rows = features.where((F.col("t") >= start - reference_us) & (F.col("t") < now_us) & ~F.col("insufficient_history"))
+    long = unpivoted(rows.select("symbol", (F.col("t") >= start).alias("live"), *FEATURE_NAMES), ["symbol", "live"]).where(finite(F.col("value")))
+    means = long.groupBy("symbol", "feature").agg(F.avg(F.when(F.col("live"), F.col("value"))).alias("mean"), F.avg(F.when(~F.col("live"), F.col("value"))).alias("reference"))  # both of one pass over the features
+    moved = means.where("reference <> 0").where(F.abs((F.col("mean") - F.col("reference")) / F.nullif(F.col("reference"), F.lit(0.0))) > most)
     moved = moved.groupBy("symbol").agg(F.count(F.lit(1)).alias("shifted"), F.concat_ws(",", F.array_sort(F.collect_list("feature"))).alias("features"))
     return symbols.join(moved, "symbol", "left").select("symbol", F.col("shifted").isNull().alias("passed"), F.coalesce("shifted", F.lit(0).cast("long")).alias("shifted"), F.coalesce("features", F.lit("")).alias("features"))
 
