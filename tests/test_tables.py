@@ -253,3 +253,17 @@ def test_quantiles(spark):
     at = [0.0, 0.1, 0.4, 0.5, 0.99, 1.0]
     got = {r.feature: list(r.q) for r in quantiles(rows, at).collect()}
     assert got.keys() == data.keys() and all(np.allclose(got[f], np.quantile(x, at)) for f, x in data.items())
+
+
+def test_predictions_of_ticks_of_one_time_are_all_stored(spark, tmp_path):
+    """Attribution with several ticks of a symbol and time gives what its SQL gives: a prediction for each, with the price of each."""
+    import duckdb
+
+    from tests.oracle import same
+    from tickflow.plans import registry
+
+    # every three hours one to three ticks of one time, and one tick 70 minutes later
+    ticks = "SELECT k * 10 + j AS event_id, k * 180 AS m, 10.0 + (k * 5 + j * 4) % 9 AS value FROM range(60) a(k), range(3) b(j) WHERE j <= k % 3 UNION ALL SELECT 1000 + k, k * 180 + 70, 12.0 + k % 3 FROM range(60) a(k)"
+    duckdb.sql(f"""COPY (SELECT event_id, TIMESTAMP '2024-01-12' + to_minutes(m) AS ts, 1::BIGINT AS user_id, 'view' AS event_type, value::DOUBLE AS value, '{{"k": 1}}' AS props FROM ({ticks})) TO '{tmp_path}/events.parquet' (FORMAT parquet)""")
+    for name in ("outcomes_stored", "attribution_run"):
+        same(registry.QUERIES[name](spark, str(tmp_path)), registry.SQL[name], str(tmp_path))

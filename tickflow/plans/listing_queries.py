@@ -18,15 +18,15 @@ DRAWS = 1000
 
 def _attributed(spark, sf_dir):
     """Predictions stored twice; attribution in the middle of the month and at its end, theta from the newer of two training runs. Gives
-    (slices of the last run, path of the outcomes)."""
+    (slices of the last run, path of the outcomes). A prediction is of one event, several of which may be of one time."""
     root = shared_dir(spark)
-    p = M._predictions(spark, sf_dir).drop("p", "n")
+    p, key = M._predictions(spark, sf_dir).drop("p"), (*attribution.KEY, "n")
     for rows in (p.where(F.col("t") < MIDDLE_US), p):
-        attribution.store_predictions(rows, f"{root}/predictions")
+        attribution.store_predictions(rows, f"{root}/predictions", key=key)
     runs = spark.createDataFrame([(9.0, 1), (THETA, 2)], "theta double, finished long")
     for now in (MIDDLE_US, NOW_US):
         stored = spark.read.parquet(f"{root}/predictions")
-        out = attribution.attribution_run(stored, f"{root}/outcomes", ticks(spark, sf_dir), now_us=now, horizon_us=HORIZON_US, tolerance_us=TOLERANCE_US, start_us=START_US, runs=runs)
+        out = attribution.attribution_run(stored, f"{root}/outcomes", ticks(spark, sf_dir), now_us=now, horizon_us=HORIZON_US, tolerance_us=TOLERANCE_US, start_us=START_US, runs=runs, key=key)
     return out, f"{root}/outcomes"
 
 

@@ -68,12 +68,16 @@ def _publish(spark: SparkSession, staged: str, target: str) -> bool:
     return True
 
 
-def new_rows(rows: DataFrame, table: DataFrame, keys: Sequence[Sequence[str]]) -> DataFrame:
-    """The rows of which no key is in the table, one per key: the first by all their columns."""
+def first_rows(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """One row per key: the first by all columns."""
+    w = Window.partitionBy(*key).orderBy(*([c for c in rows.columns if c not in key] or key))
+    return rows.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k")
+
+
+def new_rows(rows: DataFrame, table: DataFrame, keys: Sequence[Sequence[str]], *, whole: bool = False) -> DataFrame:
+    """The rows of which no key is in the table, one per key, the first by all their columns; with `whole`, all rows of a key."""
     for key in keys:
-        rest = [c for c in rows.columns if c not in key]
-        w = Window.partitionBy(*key).orderBy(*(rest or key))
-        rows = rows.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k").join(table.select(*key), list(key), "left_anti").select(*rows.columns)
+        rows = (rows if whole else first_rows(rows, key)).join(table.select(*key), list(key), "left_anti").select(*rows.columns)
     return rows
 
 
@@ -86,8 +90,8 @@ def in_partitions(table: DataFrame, partition: str, values: Sequence) -> DataFra
     return table.where(F.col(partition).isin(list(values))) if len(values) else table.where("false")
 
 
-def insert_if_absent(rows: DataFrame, path: str, keys: Sequence[Sequence[str]], *, partition: str | None = None, tries: int = 20, before_commit: Callable[[], None] | None = None) -> bool:
-    """Append the rows that the table has none of the keys of; whether there were any.
+def insert_if_absent(rows: DataFrame, path: str, keys: Sequence[Sequence[str]], *, partition: str | None = None, whole: bool = False, tries: int = 20, before_commit: Callable[[], None] | None = None) -> bool:
+    """Append the rows that the table has none of the keys of, the first of each key, or with `whole` all; whether there were any.
 
     The new rows are written aside and appear as a whole by one rename, to the next number after the commits that were compared with. If
     another writer took that number first, the comparison is made again, so two writers at a time leave one row per key; if a job dies
@@ -101,7 +105,7 @@ def insert_if_absent(rows: DataFrame, path: str, keys: Sequence[Sequence[str]],
         if partition:
             table = in_partitions(table, partition, partitions_of(rows, partition))
         staged = f"{path}/_staging/{uuid.uuid4().hex}"
-        writer = new_rows(rows, table, keys).write
+        writer = new_rows(rows, table, keys, whole=whole).write
         (writer.partitionBy(partition) if partition else writer).parquet(staged)
         some = bool(folders(spark, f"{staged}/{partition}=*")) if partition else not spark.read.schema(rows.schema).parquet(staged).isEmpty()
         if not some and (number > 1 or partition):
