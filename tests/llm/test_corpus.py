@@ -813,3 +813,30 @@ def test_pipeline_of_nothing(spark, tmp_path, sf):
     for t in ("documents", "labels", "benchmark"):
         common.read(spark, sf, t).where("false").write.parquet(f"{tmp_path}/{t}.parquet")
     assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pairs_of_lines_are_compared_in_rounds(spark, monkeypatch):
+    """Pairs whose texts are several times as long as the lines themselves are compared in several rounds, each pair in one, with the same edges."""
+    words = {k: [f"word{(k % 4 * 17 + i) % 90}" if i != k else "other" for i in range(20)] for k in range(30)}
+    texts = spark.createDataFrame(list(words.items()), "id long, words array<string>")
+    pairs = common.materialize(spark.createDataFrame([(a, b) for a in words for b in words if a < b], "a long, b long"))
+    edges = lambda: sorted(tuple(r) for r in lines._verified(pairs, texts, 0.8).collect())
+    want, sent = edges(), []
+    assert want and {a % 4 == b % 4 for a, b in want} == {True}
+    compared = lines._compared
+    monkeypatch.setattr(lines, "_compared", lambda p, *more: sent.append(p.count()) or compared(p, *more))
+    monkeypatch.setattr(lines, "ROUND", 1)
+    assert edges() == want and len(sent) > 2 and max(sent) < 0.5 * sum(sent)
+
+
+def test_shuffles_go_with_the_table_that_they_were_for(spark):
+    """What a step shuffled is not on disk any more when its table is written."""
+
+    def left():
+        files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+    before, conf = left(), spark.conf.getAll
+    table = common.materialize(spark.range(1000).selectExpr("id % 7 AS k", "id").groupBy("k").agg(F.sum("id").alias("s")))
+    assert left() <= before and table.count() == 7
+    assert spark.conf.getAll == conf  # the session is as it was
