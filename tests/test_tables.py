@@ -267,3 +267,18 @@ def test_predictions_of_ticks_of_one_time_are_all_stored(spark, tmp_path):
     duckdb.sql(f"""COPY (SELECT event_id, TIMESTAMP '2024-01-12' + to_minutes(m) AS ts, 1::BIGINT AS user_id, 'view' AS event_type, value::DOUBLE AS value, '{{"k": 1}}' AS props FROM ({ticks})) TO '{tmp_path}/events.parquet' (FORMAT parquet)""")
     for name in ("outcomes_stored", "attribution_run"):
         same(registry.QUERIES[name](spark, str(tmp_path)), registry.SQL[name], str(tmp_path))
+
+
+def test_a_batch_computes_its_features_once(spark, tmp_path, monkeypatch):
+    """To store features, a batch computes them once, not once more to learn their months."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def told(price):
+        seen.add(1)
+        return price
+
+    monkeypatch.setattr(stream, "compute_features", lambda ticks, **more: compute_features(ticks.withColumn("price", told("price")), **more))
+    spark.createDataFrame([(_message(k, f"2024-01-01T00:{k:02d}:00Z"),) for k in range(30)], "value string").write.text(f"{tmp_path}/in")
+    stream.process(ingest.decode(spark.read.text(f"{tmp_path}/in")), f"{tmp_path}/out")
+    assert seen.value == spark.read.parquet(f"{tmp_path}/out/features").count() == 30

@@ -90,20 +90,21 @@ def in_partitions(table: DataFrame, partition: str, values: Sequence) -> DataFra
     return table.where(F.col(partition).isin(list(values))) if len(values) else table.where("false")
 
 
-def insert_if_absent(rows: DataFrame, path: str, keys: Sequence[Sequence[str]], *, partition: str | None = None, whole: bool = False, tries: int = 20, before_commit: Callable[[], None] | None = None) -> bool:
+def insert_if_absent(rows: DataFrame, path: str, keys: Sequence[Sequence[str]], *, partition: str | None = None, among: Sequence | None = None, whole: bool = False, tries: int = 20, before_commit: Callable[[], None] | None = None) -> bool:
     """Append the rows that the table has none of the keys of, the first of each key, or with `whole` all; whether there were any.
 
     The new rows are written aside and appear as a whole by one rename, to the next number after the commits that were compared with. If
     another writer took that number first, the comparison is made again, so two writers at a time leave one row per key; if a job dies
     before the rename, nothing has changed, and running it again adds what it would have. A job that died between two sinks is made good in
     the same way, as each sink compares with what it has itself. A partition column has to follow from each key: only the partitions that
-    the rows fall in are read, so the cost does not grow with the table's age. before_commit is called once the rows are written."""
+    the rows fall in are read, so the cost does not grow with the table's age; where the caller knows which these are, or more, `among` saves
+    computing the rows once only to learn them. before_commit is called once the rows are written."""
     spark = rows.sparkSession
     for _ in range(tries):
         number = _next_commit(spark, path)  # before the table is listed: whatever is committed later takes this number
         table = stored(spark, path, rows)
         if partition:
-            table = in_partitions(table, partition, partitions_of(rows, partition))
+            table = in_partitions(table, partition, partitions_of(rows, partition) if among is None else among)
         staged = f"{path}/_staging/{uuid.uuid4().hex}"
         writer = new_rows(rows, table, keys, whole=whole).write
         (writer.partitionBy(partition) if partition else writer).parquet(staged)

@@ -42,15 +42,15 @@ def process(batch: DataFrame, root: str, *, batch_id: int = 0, gap_us: int = GAP
     valid, dead = split_valid(batch, expire_before=before)
     dead.write.mode("overwrite").parquet(f"{root}/dead_letters/batch={batch_id}")
     rows = _ticks(valid)
-    insert_if_absent(rows, f"{root}/ticks", TICK_KEYS, partition="month")
-    ticks = stored(spark, f"{root}/ticks", rows)
     months = partitions_of(rows, "month")
+    insert_if_absent(rows, f"{root}/ticks", TICK_KEYS, partition="month", among=months)
+    ticks = stored(spark, f"{root}/ticks", rows)
     # of the batch's ticks, those that are stored (not the duplicates that lost) and have no features yet
     kept = in_partitions(ticks, "month", months).join(rows.select("symbol", "t", "message_id").distinct(), ["symbol", "t", "message_id"], "left_semi").select("symbol", "t")
     table = in_partitions(stored(spark, f"{root}/features", with_month(versioned(compute_features(ticks.where("false"))))), "month", months)
     todo = kept.join(table.select("symbol", "t"), ["symbol", "t"], "left_anti").persist()
     fresh = with_month(versioned(features_of(todo, ticks, gap_us=gap_us, history_rows=history_rows)))
-    insert_if_absent(fresh, f"{root}/features", FEATURE_KEYS, partition="month")
+    insert_if_absent(fresh, f"{root}/features", FEATURE_KEYS, partition="month", among=months)
     todo.unpersist()
     batch.unpersist()
 
@@ -90,7 +90,7 @@ def backfill(spark: SparkSession, root: str, start_us: int, end_us: int, *, vers
     lo = start_us - HISTORY_US
     ticks = spark.read.parquet(f"{root}/ticks").where(F.col("month").isin(months_between(lo, end_us)) & (F.col("t") >= lo) & (F.col("t") < end_us))
     rows = with_month(versioned(compute_features(ticks, gap_us=gap_us, history_rows=history_rows).where(F.col("t") >= start_us)))
-    insert_if_absent(rows, f"{root}/features", FEATURE_KEYS, partition="month")
+    insert_if_absent(rows, f"{root}/features", FEATURE_KEYS, partition="month", among=months_between(start_us, end_us))
 
 
 def _last_commit(spark: SparkSession, path: str, month: str) -> int:
@@ -135,9 +135,10 @@ def seed(rows: DataFrame, root: str, *, gap_us: int = GAP_US, history_rows: int
     """Historical rows (symbol, t, price, volume, message_id): stored if new, with features for those that are."""
     spark = rows.sparkSession
     rows = with_month(rows.select("symbol", "t", "price", "volume", "message_id"))
-    fresh = new_rows(rows, in_partitions(stored(spark, f"{root}/ticks", rows), "month", partitions_of(rows, "month")), TICK_KEYS).select("symbol", "t").persist()
+    months = partitions_of(rows, "month")
+    fresh = new_rows(rows, in_partitions(stored(spark, f"{root}/ticks", rows), "month", months), TICK_KEYS).select("symbol", "t").persist()
     fresh.count()
-    insert_if_absent(rows, f"{root}/ticks", TICK_KEYS, partition="month")
+    insert_if_absent(rows, f"{root}/ticks", TICK_KEYS, partition="month", among=months)
     table = spark.read.parquet(f"{root}/ticks")
-    insert_if_absent(with_month(versioned(features_of(fresh, table, gap_us=gap_us, history_rows=history_rows))), f"{root}/features", FEATURE_KEYS, partition="month")
+    insert_if_absent(with_month(versioned(features_of(fresh, table, gap_us=gap_us, history_rows=history_rows))), f"{root}/features", FEATURE_KEYS, partition="month", among=months)
     fresh.unpersist()
